@@ -71,6 +71,8 @@ def answers(table: pa.Table, round_: int, length: int) -> np.ndarray:
 
 
 def _by_blob(table: pa.Table, width: int) -> tuple[list[int], np.ndarray, np.ndarray, np.ndarray]:
+    """Blobs in the order of their groups: rows of a shuffle come in any order, and answers must not depend on it."""
+    table = table.sort_by("g")
     gs, blobs, multis = (table.column(c).to_pylist() for c in ("g", "keys", "multi"))
     keys = np.frombuffer(b"".join(blobs), np.uint64).reshape(-1, width)
     sizes = np.array([len(m) for m in multis], np.int64)
