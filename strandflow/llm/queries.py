@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandflow.llm import decontaminate, fingerprints, language_id, mixing, simhash_dedup, substring_dedup, suffix_dedup
+from strandflow.llm import decontaminate, fingerprints, language_id, licenses, mixing, simhash_dedup, substring_dedup, suffix_dedup
 from strandflow.llm.common import read
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read(spark, sf_dir, "documents"))
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -51,6 +55,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_scan": op1_license_scan,
     "op2_decontaminate": op2_decontaminate,
     "op3_source_mix": op3_source_mix,
     "op4_language_id": op4_language_id,
@@ -61,5 +66,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_license_scan": licenses.sql(),
     "op3_source_mix": mixing.SQL,
 }
