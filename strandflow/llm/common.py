@@ -6,7 +6,7 @@ import math
 import tempfile
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text one group of documents holds on average; a Python task works on one group.
@@ -19,15 +19,20 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared checkpoint folder, so that later plans start from its files.
-
-    The folder is the one the cluster names in ``spark.checkpoint.dir``; only where that is
-    unset (tests on one machine) a temporary one is used.
-    """
-    spark = df.sparkSession
-    if spark.conf.get("spark.checkpoint.dir", None) is None and spark.sparkContext.getCheckpointDir() is None:
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in ``spark.checkpoint.dir``; a temporary one only where that is unset (tests)."""
+    if found := spark.conf.get("spark.checkpoint.dir", None):
+        return found
+    if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoint-"))
+    return spark.sparkContext.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder, so that later plans start from its files and survive lost executors."""
+    folder = shared_folder(df.sparkSession)
+    if df.sparkSession.sparkContext.getCheckpointDir() is None:
+        df.sparkSession.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
 
 
@@ -36,21 +41,18 @@ def text_bytes(docs: DataFrame, text: str) -> int:
     return docs.agg(F.sum(F.octet_length(text).cast("long")).alias("n")).first()["n"] or 0
 
 
-def grouped(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, int]:
-    """(g, id, body) with documents dealt to groups of about GROUP_BYTES by a hash of id and text, and their total bytes.
+def grouped(docs: DataFrame, doc_id: str, text: str, carry: list[str] | None = None) -> tuple[DataFrame, int]:
+    """(g, id, body[, rest]) with documents dealt to groups of about GROUP_BYTES by a hash of id and text, and all bytes.
 
-    The same row always has the same g, so several passes over the texts can share one exchange.
+    The same row always has the same g, so several passes over the texts can share one exchange. ``rest`` holds the
+    columns ``carry``.
     """
     total = text_bytes(docs, text)
     groups = max(1, math.ceil(total / GROUP_BYTES))
     body = F.coalesce(F.col(text), F.lit(""))
     g = F.pmod(F.xxhash64(F.col(doc_id), body), F.lit(groups)).cast("int")
-    return docs.select(g.alias("g"), F.col(doc_id).alias("id"), body.cast("binary").alias("body")), total
-
-
-def letters() -> Column:
-    """Java pattern class for any letter, as text."""
-    return F.lit(r"\p{L}")
+    rest = [F.struct(*carry).alias("rest")] if carry else []
+    return docs.select(g.alias("g"), F.col(doc_id).alias("id"), body.cast("binary").alias("body"), *rest), total
 
 
 def mix(x: np.ndarray) -> np.ndarray:

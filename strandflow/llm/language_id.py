@@ -22,6 +22,8 @@ WIDTH = 2048
 SAMPLE_DOCS, SAMPLE_SPANS, TRAIN_SPAN = 400, 4, 64
 EPOCHS, BATCH, RATE, SEED = 8, 256, 0.02, 7
 UNKNOWN = "und"
+#: Score below which a text is taken to have no language that was learned; an even guess among four has 0.25.
+LEAST_SCORE = 0.35
 
 
 @dataclass
@@ -243,6 +245,23 @@ def predict(docs: DataFrame, model: Model | None, doc_id: str = "doc_id", text:
     return rows.mapInArrow(run, f"id {kind}, lang_pred string, score double, agree double").withColumnRenamed("id", doc_id)
 
 
+def keep_known(docs: DataFrame, model: Model | None, text: str = "text", least: float = LEAST_SCORE) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text has a language: not UNKNOWN, and a score of ``least`` or more."""
+    if model is None:
+        return docs.limit(0)
+
+    def run(batches):
+        for batch in batches:
+            bodies = [t.encode() if t and any(map(str.isalpha, t)) else None for t in batch.column(text).to_pylist()]
+            good = np.zeros(len(bodies), bool)
+            for part in _parts(bodies):
+                mean, _ = classify(model, [bodies[i] for i in part])
+                good[part] = mean.max(axis=1) >= least
+            yield batch.filter(pa.array(good))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def _parts(bodies: list[bytes | None], most: int = 4 << 20):
     """Places of the texts that have a body, in runs of about ``most`` bytes."""
     held, size = [], 0

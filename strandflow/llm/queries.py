@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandflow.llm import decontaminate, fingerprints, language_id, licenses, mixing, simhash_dedup, substring_dedup, suffix_dedup
+from strandflow.llm import decontaminate, fingerprints, html_text, language_id, licenses, mixing, simhash_dedup, substring_dedup, suffix_dedup, warc
 from strandflow.llm.common import read
 
 
@@ -49,6 +49,15 @@ def op7_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages")
+    return warc.audit(warc.manifest(pages), warc.damaged(pages))
+
+
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(read(spark, sf_dir, "pages"))
+
+
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix_dedup.find_repeats(read(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
@@ -62,10 +71,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_substring_dedup": op5_substring_dedup,
     "op6_simhash_dedup": op6_simhash_dedup,
     "op7_winnowing": op7_winnowing,
+    "op8_warc_fixity": op8_warc_fixity,
+    "op9_html_text": op9_html_text,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_license_scan": licenses.sql(),
     "op3_source_mix": mixing.SQL,
+    "op8_warc_fixity": warc.SQL,
 }

@@ -113,3 +113,12 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = rooted.select("fp", "root").join(least, "root").select("fp", "component_id")
     return prints.join(classes, "fp").select(F.col("doc_id").alias(doc_id), "fp", "component_id")
+
+
+def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE) -> DataFrame:
+    """The rows of ``docs``, all columns, that have the least id of their component: one of rows that repeat an id."""
+    found = near_duplicates(docs, doc_id, text, size)
+    first = found.where(F.col(doc_id).eqNullSafe(F.col("component_id"))).select(F.col(doc_id).alias("first_")).distinct()
+    kept = docs.join(first, docs[doc_id].eqNullSafe(F.col("first_")), "left_semi")
+    nth = F.row_number().over(Window.partitionBy(doc_id).orderBy(text))
+    return kept.withColumn("nth_", nth).where("nth_ = 1").drop("nth_")

@@ -129,6 +129,7 @@ class Group:
         bodies = table.column("body").to_pylist()
         ranked = sorted(range(len(order)), key=lambda i: (order[i] is None, order[i] or 0, bodies[i]))
         self.ids, self.bodies = [order[i] for i in ranked], [bodies[i] for i in ranked]
+        self.rest = table.column("rest").take(pa.array(ranked, pa.int64())) if "rest" in table.column_names else None
 
     def __iter__(self):
         held, size = [], 0
@@ -178,15 +179,15 @@ def refine(table: pa.Table, answered: pa.Table | None, rounds: int):
     return group, marks, None
 
 
-def find_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row (id, n_bytes, n_removed, spans, kept) for each row of ``docs``.
+def find_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", carry: list[str] | None = None) -> DataFrame:
+    """One row (doc_id, n_bytes, n_removed, spans, kept) for each row of ``docs``, and ``rest`` with the columns ``carry``.
 
     A byte of a text (UTF-8, null as empty) is removed if a string of LENGTH bytes that covers it also starts at another
     place of any text; strings are judged on the input and never run across documents. ``spans`` holds the maximal
     removed runs, ``kept`` the other bytes. An empty table gives no rows; repeated rows count as documents of their own;
     other columns are ignored. A cut may split a character, so ``kept`` is binary.
     """
-    dealt, total = grouped(docs, doc_id, text)
+    dealt, total = grouped(docs, doc_id, text, carry)
     n = exchange.buckets(total / 60)
 
     def first(table: pa.Table) -> pa.Table:
@@ -213,13 +214,15 @@ def find_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
                 rows["kept"].append(w.data[end - size : end][~cut].tobytes())
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         types = {"n_bytes": pa.int64(), "n_removed": pa.int64(), "spans": kind, "kept": pa.binary()}
-        return pa.table({"id": pa.array(group.ids, pa.int64())} | {c: pa.array(v, types[c]) for c, v in rows.items()})
+        out = {"id": pa.array(group.ids, pa.int64())} | {c: pa.array(v, types[c]) for c, v in rows.items()}
+        return pa.table(out | ({"rest": group.rest} if carry else {}))
 
     one = exchange.repeated(dealt.groupBy("g").applyInArrow(first, exchange.ASKED), 1, 1)
     two = exchange.refined(_with(dealt, one).applyInArrow(later(1), exchange.ASKED), 2)
     both = one.unionAll(two)
     three = exchange.repeated(_with(dealt, both).applyInArrow(later(2), exchange.ASKED), 3, 2)
-    found = _with(dealt, both.unionAll(three)).applyInArrow(result, RESULT)
+    shape = RESULT + (f", rest {dealt.schema['rest'].dataType.simpleString()}" if carry else "")
+    found = _with(dealt, both.unionAll(three)).applyInArrow(result, shape)
     return found.withColumnRenamed("id", doc_id)
 
 
@@ -228,6 +231,8 @@ def _with(dealt: DataFrame, answered: DataFrame):
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, text): the texts without the repeated bytes; a character that a cut splits is dropped."""
-    found = find_repeats(docs, doc_id, text)
-    return found.select(doc_id, F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "�", "").alias(text))
+    """``docs`` with the repeated bytes cut from ``text``; a character that a cut splits is dropped, a null text empty."""
+    rest = [c for c in docs.columns if c not in (doc_id, text)]
+    found = find_repeats(docs, doc_id, text, rest)
+    left = F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "\ufffd", "")
+    return found.select(*[left.alias(c) if c == text else F.col(c if c == doc_id else f"rest.`{c}`").alias(c) for c in docs.columns])
