@@ -10,21 +10,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandflow.operators.ranges import ordered
+from strandflow.operators.ranges import number, ordered, previous, running_sum
 
 ORDER = ("seq", "row_no", "sub_no")
 
 
 def runs(ops: DataFrame, batch_size: int | None = None) -> DataFrame:
     """``ops`` with batch_no from 1 in each index: a new one where the kind of operation or the epoch changes."""
-    rows = ordered(ops, *ORDER, by=("index",))
-    mark = F.col("op")
+    rows = ordered(ops, *ORDER, by=("index",)).settled().scan(_n=number(), _last=previous("op"))
+    same = F.col("_last").eqNullSafe(F.col("op"))
     if batch_size:
-        rows = rows.number("_n")
-        mark = F.concat_ws(":", "op", F.floor((F.col("_n") - 1) / batch_size).cast("string"))
-    rows = rows.with_column("_mark", mark).previous("_mark", "_last")
-    starts = F.when(F.col("_last").eqNullSafe(F.col("_mark")), 0).otherwise(1)
-    return rows.with_column("_starts", starts).running_sum("_starts", "batch_no").done().drop("_n", "_mark", "_last", "_starts")
+        same = same & ((F.col("_n") - 1) % batch_size != 0)
+    rows = rows.with_column("_starts", F.when(same, 0).otherwise(1)).settled().scan(batch_no=running_sum("_starts"))
+    return rows.done().drop("_n", "_last", "_starts")
 
 
 def batches(ops: DataFrame, batch_size: int) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandflow.functions.values import statement
-from strandflow.operators.ranges import ordered
+from strandflow.operators.ranges import last_known, ordered
 
 OPENERS = ("table_map", "rows", "gtid", "anonymous_gtid", "transaction_payload")
 
@@ -32,15 +32,15 @@ def safe_positions(log: DataFrame, start_file: str, start_pos: int) -> DataFrame
     """
     opens, ends, other = _roles()
     flagged = log.withColumn("_open", F.when(opens, True).when(ends, False)).withColumn("_packed", F.when(F.col("kind") == "transaction_payload", True).when(ends, False))
-    rows = ordered(flagged, "seq").last_known("_open", "_was_open", inclusive=False).last_known("_packed", "_was_packed", inclusive=False)
+    rows = ordered(flagged, "seq").settled().scan(_was_open=last_known("_open", False), _was_packed=last_known("_packed", False))
     was_open, was_packed = F.coalesce("_was_open", F.lit(False)), F.coalesce("_was_packed", F.lit(False))
     rotate = F.col("kind") == "rotate"
     moved = F.when(rotate, F.col("rotate_pos")).when((F.col("log_pos") != 0) & ~was_packed, F.col("log_pos"))
     rows = rows.with_column("_pos", moved).with_column("_file", F.when(rotate, F.col("rotate_file")))
-    rows = rows.last_known("_pos", "current_pos").last_known("_file", "current_file")
+    rows = rows.settled().scan(current_pos=last_known("_pos"), current_file=last_known("_file"))
     rows = rows.with_column("current_pos", F.coalesce("current_pos", F.lit(start_pos).cast("long"))).with_column("current_file", F.coalesce("current_file", F.lit(start_file)))
     safe = ends | ((other | rotate) & ~was_open)
     at = F.when(safe, F.struct(F.col("current_file").alias("file"), F.col("current_pos").alias("pos")))
-    rows = rows.with_column("_at", at).last_known("_at", "_safe").done()
+    rows = rows.with_column("_at", at).settled().scan(_safe=last_known("_at")).done()
     rows = rows.withColumn("safe_file", F.coalesce("_safe.file", F.lit(start_file))).withColumn("safe_pos", F.coalesce("_safe.pos", F.lit(start_pos).cast("long")))
     return rows.drop("_open", "_packed", "_was_open", "_was_packed", "_pos", "_file", "_at", "_safe")

@@ -2,21 +2,65 @@
 
 Rows are dealt to ranges of the order's first column; a window works within a range, and what it needs of the rows before
 is carried over from a table with one row for each range. So no task sorts the whole table, as a window without a
-partition would have it.
+partition would have it. A scan reads its rows twice, for the ranges' totals and for the rows; ``settled`` writes them
+to the shared checkpoint folder first, so that scans on scans stay linear.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strandflow.session import checkpointed
+
 #: Ranges, and values of the first column that their edges are taken from: those with the least hashes.
 RANGES, SAMPLE = 64, 4096
 RANGE = "_range"
 
 
+@dataclass(frozen=True)
+class Scan:
+    """A value within a range, a range's total, how totals of the ranges before are put together, and with the value."""
+
+    here: Callable[[Ordered], Column]
+    total: Callable[[Ordered], Column]
+    before: Callable[[str], Column]
+    joined: Callable[[Column, Column], Column]
+
+
+def number() -> Scan:
+    """Rows numbered from 1."""
+    return Scan(lambda o: F.row_number().over(o.within), lambda o: F.count("*"), F.sum, lambda here, before: here + F.coalesce(before, F.lit(0)))
+
+
+def running_sum(value: str) -> Scan:
+    return Scan(
+        lambda o: F.sum(value).over(o.within.rowsBetween(Window.unboundedPreceding, 0)), lambda o: F.sum(value), F.sum,
+        lambda here, before: F.coalesce(here, F.lit(0)) + F.coalesce(before, F.lit(0)),
+    )
+
+
+def previous(value: str) -> Scan:
+    """The row before's ``value``; null in the first row."""
+    boxed = F.struct(F.col(value).alias("v"))
+    return Scan(
+        lambda o: F.lag(boxed).over(o.within), lambda o: F.max_by(boxed, F.struct(*o.order)),
+        lambda c: F.last(c, ignorenulls=True), lambda here, before: F.coalesce(here, before)["v"],
+    )
+
+
+def last_known(value: str, inclusive: bool = True) -> Scan:
+    """The latest ``value`` that is not null, up to and with this row or only before it."""
+    until = 0 if inclusive else -1
+    return Scan(
+        lambda o: F.last(value, ignorenulls=True).over(o.within.rowsBetween(Window.unboundedPreceding, until)),
+        lambda o: F.max_by(value, F.when(F.col(value).isNotNull(), F.struct(*o.order))), lambda c: F.last(c, ignorenulls=True), F.coalesce,
+    )
+
+
 @dataclass(frozen=True)
 class Ordered:
     """Rows with their range; ``by`` are columns that keep sequences apart, ``order`` makes a total order in each."""
@@ -29,44 +73,21 @@ class Ordered:
     def within(self):
         return Window.partitionBy(*self.by, RANGE).orderBy(*self.order)
 
-    def _carried(self, value: Column, out: str, over) -> DataFrame:
-        """(by, range, out): what ``over`` says of all ranges before."""
-        totals = self.rows.groupBy(*self.by, RANGE).agg(value.alias("_total"))
-        before = Window.partitionBy(*self.by).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
-        return totals.select(*self.by, RANGE, over("_total").over(before).alias(out))
-
-    def _joined(self, rows: DataFrame, carried: DataFrame) -> DataFrame:
-        right = carried.withColumnsRenamed({c: f"_to_{c}" for c in (*self.by, RANGE)})
+    def scan(self, **outs: Scan) -> Ordered:
+        """The rows with a column for each scan, all in one go."""
+        keys = (*self.by, RANGE)
+        totals = self.rows.groupBy(*keys).agg(*[s.total(self).alias(f"_t_{out}") for out, s in outs.items()])
+        earlier = Window.partitionBy(*self.by).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
+        carried = totals.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[s.before(f"_t_{out}").over(earlier).alias(f"_b_{out}") for out, s in outs.items()])
         same = F.lit(True)
-        for c in (*self.by, RANGE):
-            same = same & F.col(c).eqNullSafe(F.col(f"_to_{c}"))
-        return rows.join(right, same, "left").drop(*[f"_to_{c}" for c in (*self.by, RANGE)])
-
-    def _with(self, rows: DataFrame, carried: DataFrame, out: str, value: Column) -> Ordered:
-        return Ordered(self._joined(rows, carried).withColumn(out, value).drop("_here", "_before"), self.order, self.by)
-
-    def number(self, out: str) -> Ordered:
-        """Rows numbered from 1."""
-        rows = self.rows.withColumn("_here", F.row_number().over(self.within))
-        return self._with(rows, self._carried(F.count("*"), "_before", F.sum), out, F.col("_here") + F.coalesce("_before", F.lit(0)))
-
-    def running_sum(self, value: str, out: str) -> Ordered:
-        rows = self.rows.withColumn("_here", F.sum(value).over(self.within.rowsBetween(Window.unboundedPreceding, 0)))
-        return self._with(rows, self._carried(F.sum(value), "_before", F.sum), out, F.coalesce("_here", F.lit(0)) + F.coalesce("_before", F.lit(0)))
-
-    def previous(self, value: str, out: str) -> Ordered:
-        """The row before's ``value``; null in the first row."""
-        boxed = F.struct(F.col(value).alias("v"))
-        rows = self.rows.withColumn("_here", F.lag(boxed).over(self.within))
-        last = F.max_by(boxed, F.struct(*self.order))
-        return self._with(rows, self._carried(last, "_before", lambda c: F.last(c, ignorenulls=True)), out, F.coalesce("_here", "_before")["v"])
-
-    def last_known(self, value: str, out: str, inclusive: bool = True) -> Ordered:
-        """The latest ``value`` that is not null, up to and with this row or only before it."""
-        until = 0 if inclusive else -1
-        rows = self.rows.withColumn("_here", F.last(value, ignorenulls=True).over(self.within.rowsBetween(Window.unboundedPreceding, until)))
-        last = F.max_by(value, F.when(F.col(value).isNotNull(), F.struct(*self.order)))
-        return self._with(rows, self._carried(last, "_before", lambda c: F.last(c, ignorenulls=True)), out, F.coalesce("_here", "_before"))
+        for k in keys:
+            same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+        rows = self.rows.withColumns({f"_h_{out}": s.here(self) for out, s in outs.items()}).join(carried, same, "left")
+        rows = rows.withColumns({out: s.joined(F.col(f"_h_{out}"), F.col(f"_b_{out}")) for out, s in outs.items()})
+        return Ordered(rows.drop(*[f"_k_{k}" for k in keys], *[f"_{x}_{out}" for out in outs for x in "hb"]), self.order, self.by)
+
+    def settled(self) -> Ordered:
+        return Ordered(checkpointed(self.rows), self.order, self.by)
 
     def with_column(self, name: str, value: Column) -> Ordered:
         return Ordered(self.rows.withColumn(name, value), self.order, self.by)
@@ -81,6 +102,5 @@ def ordered(rows: DataFrame, *order: str, by: tuple[str, ...] = (), ranges: int
     sample = rows.select(first).where(F.col(first).isNotNull()).orderBy(F.xxhash64(first)).limit(SAMPLE)
     values = [r[0] for r in sample.distinct().orderBy(first).collect()]
     step = max(1, len(values) // ranges)
-    edges = values[step::step]
-    place = sum((F.when(F.col(first) >= F.lit(e), 1).otherwise(0) for e in edges[1:]), F.when(F.col(first) >= F.lit(edges[0]), 1).otherwise(0)) if edges else F.lit(0)
+    place = sum((F.when(F.col(first) >= F.lit(e), 1).otherwise(0) for e in values[step::step]), F.lit(0))
     return Ordered(rows.withColumn(RANGE, F.coalesce(place, F.lit(0))), tuple(order), by)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandflow.functions.values import json_text
-from strandflow.operators.ranges import ordered
+from strandflow.operators.ranges import number, ordered
 from strandflow.plans.plan import TablePlan
 
 
@@ -33,7 +33,7 @@ def page(plan: TablePlan, after: object | None = None, size: int | None = None)
 
 def _cut(plan: TablePlan, size: int) -> DataFrame:
     key = plan.spec.primary_key
-    numbered = ordered(plan.rows.select(F.col(key).alias("key")), "key").number("n").done()
+    numbered = ordered(plan.rows.select(F.col(key).alias("key")), "key").scan(n=number()).done()
     return numbered.select("key", F.floor((F.col("n") - 1) / size).alias("part"))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -24,3 +26,14 @@ def build_session(master: str | None = None, app: str = "strandflow", **conf: st
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One source table; column pruning and filters reach the scan."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written to the folder that the cluster names in ``spark.checkpoint.dir``, so that plans start from there.
+
+    Only where that is unset (tests on one machine) a temporary folder is used.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+    return df.checkpoint(eager=True)
