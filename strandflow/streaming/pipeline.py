@@ -7,6 +7,7 @@ where no transaction is open.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from functools import reduce
 
@@ -36,8 +37,11 @@ def _full(events: DataFrame) -> bool:
     return not {"after_present", "after_unknown"} & set(events.columns)
 
 
-def apply_batch(store: IndexStore, plans: list[TablePlan], metrics: RunMetrics | None = None, commit: Callable[[DataFrame], None] | None = None) -> Callable[[DataFrame, int], None]:
-    """What a stream does with each micro-batch; ``commit`` gets its events once they are applied."""
+def apply_batch(store: IndexStore, plans: list[TablePlan], run_name: str, metrics: RunMetrics | None = None, commit: Callable[[DataFrame], None] | None = None) -> Callable[[DataFrame, int], None]:
+    """What a stream does with each micro-batch; ``commit`` gets its events once they are applied.
+
+    ``run_name`` tells the batches of one checkpoint from another's with the same numbers.
+    """
 
     def run(events: DataFrame, batch_id: int) -> None:
         events.persist()
@@ -48,7 +52,7 @@ def apply_batch(store: IndexStore, plans: list[TablePlan], metrics: RunMetrics |
                 by_index.setdefault(p.spec.index, []).append(ops)
             for index, parts in by_index.items():
                 ops = reduce(DataFrame.unionByName, parts)
-                store.apply(index, ops, f"batch-{batch_id}")
+                store.apply(index, ops, f"{run_name}-{batch_id}")
                 if metrics:
                     metrics.add_operations(ops)
             if commit:
@@ -61,7 +65,8 @@ def apply_batch(store: IndexStore, plans: list[TablePlan], metrics: RunMetrics |
 
 def start(events: DataFrame, store: IndexStore, plans: list[TablePlan], checkpoint: str, every_ms: int | None = None, metrics: RunMetrics | None = None, commit: Callable[[DataFrame], None] | None = None) -> StreamingQuery:
     """The running stream: every ``every_ms`` milliseconds, or once over all that is there."""
-    writer = events.writeStream.foreachBatch(apply_batch(store, plans, metrics, commit)).option("checkpointLocation", checkpoint)
+    name = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
+    writer = events.writeStream.foreachBatch(apply_batch(store, plans, name, metrics, commit)).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=f"{every_ms} milliseconds") if every_ms else writer.trigger(availableNow=True)
     return writer.start()
 
