@@ -62,7 +62,7 @@ def _features(name: str, attrs: str) -> tuple[str, ...]:
 
 
 def runs(page: str):
-    """(kind, text or tag, features around it) for each text run and tag of a page, in order."""
+    """(kind, text or tag, features around it) for each text run and tag of a page, in order; a tag stands in its element."""
     stack: list[tuple[str, tuple[str, ...]]] = [("", ())]  # name, features of it and all around it
     at = 0
     for token in _TOKEN.finditer(page):
@@ -75,17 +75,19 @@ def runs(page: str):
             continue
         name = name.lower()
         if token["end"]:
-            if any(n == name for n, _ in stack):
-                while stack[-1][0] != name:
-                    stack.pop()
+            found = any(n == name for n, _ in stack)
+            while found and stack[-1][0] != name:
                 stack.pop()
             yield "tag", name, stack[-1][1]
+            if found:
+                stack.pop()
             continue
         if name == "p" and stack[-1][0] == "p" or name == "li" and stack[-1][0] == "li":
             stack.pop()
-        yield "tag", name, stack[-1][1]
+        around = stack[-1][1] + _features(name, token["attrs"])
+        yield "tag", name, around
         if name not in _VOID and not token["attrs"].rstrip().endswith("/"):
-            stack.append((name, stack[-1][1] + _features(name, token["attrs"])))
+            stack.append((name, around))
     if at < len(page):
         yield "text", page[at:], stack[-1][1]
 

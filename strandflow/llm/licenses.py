@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 THRESHOLD = 0.8
+#: So that rounding doesn't shut out a size that reaches the threshold exactly.
+_SLACK = 1 + 1e-9
 
 # Wordings of licences, their notices and the terms that are commonly quoted.
 TEMPLATES: list[tuple[str, str, str]] = [
@@ -77,7 +79,7 @@ class Scanner:
             for gram in g:
                 self.holds.setdefault(gram, []).append(i)
         self.known = frozenset(self.holds)
-        ratio = (2 - threshold) / threshold
+        ratio = (2 - threshold) / threshold * _SLACK
         self.bounds = [(n / ratio, n * ratio) for n in self.sizes]
         self.least, self.most = min(b for b, _ in self.bounds), max(b for _, b in self.bounds)
 
@@ -153,7 +155,7 @@ def sql() -> str:
     quoted = ", ".join("(" + ", ".join("'" + x.replace("'", "''") + "'" for x in row) + ")" for row in TEMPLATES)
     words_of = "list_filter(regexp_split_to_array(lower({}), '[^\\p{{L}}\\p{{N}}]+'), lambda w: w <> '')"
     grams = "list_distinct(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]))"
-    ratio = (2 - THRESHOLD) / THRESHOLD
+    ratio = (2 - THRESHOLD) / THRESHOLD * _SLACK
     return f"""
 WITH templates AS (SELECT license, template, {grams} AS tg FROM (SELECT license, template, {words_of.format('wording')} AS ws FROM (VALUES {quoted}) t(license, template, wording))),
 paragraphs AS (SELECT doc_id, ps, unnest(ps) AS p, generate_subscripts(ps, 1) AS k FROM (SELECT doc_id, regexp_split_to_array(text, '\\n(?:[ \\t\\r\\f\\x0b]*\\n)+') AS ps FROM documents WHERE text IS NOT NULL)),
