@@ -39,17 +39,11 @@ def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return ranked[at], np.diff(np.append(at, len(keys))) > 1, place
 
 
-def _cuts(first: np.ndarray, n: int) -> np.ndarray:
-    """Where each bucket ends among sorted 64-bit values, dealt evenly by their upper 32 bits."""
-    of = ((first >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
-    return np.searchsorted(of, np.arange(n + 1, dtype=np.uint64))
-
-
 def ask(g: int, keys: np.ndarray, multi: np.ndarray, n: int) -> pa.Table:
-    """Rows for sorted distinct ``keys``: one for each bucket that gets any."""
-    cuts = _cuts(keys[:, 0], n) if len(keys) else np.zeros(n + 1, np.int64)
-    used = np.flatnonzero(np.diff(cuts))
-    parts = [(int(b), cuts[b], cuts[b + 1]) for b in used]
+    """Rows for sorted distinct ``keys``, dealt evenly to ``n`` buckets by the upper 32 bits: one for each that gets any."""
+    of = ((keys[:, 0] >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
+    at = np.flatnonzero(np.append(len(of) > 0, of[1:] != of[:-1])) if len(of) else np.zeros(0, np.int64)
+    parts = [(int(of[s]), s, e) for s, e in zip(at, np.append(at[1:], len(of)))]
     return pa.table(
         [
             pa.array([b for b, _, _ in parts], pa.int32()),
