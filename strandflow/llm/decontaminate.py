@@ -92,7 +92,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text:
     doc = windows.withColumnRenamed("doc", "of")
     cut = bodies.join(doc, F.col("doc").eqNullSafe(F.col("of"))).select("doc", "start", "length", F.slice("seq", F.col("start") + 1, F.col("length")).alias("seq"))
     cut = checkpointed(cut.select("doc", "start", "length", shingles("seq").alias("parts")).select("*", simhash("parts").alias("fp")))
-    probes = cut.select("*", F.explode(F.array(*[F.struct(F.lit(k).alias("t"), _block(F.col("fp"), k).alias("v")) for k in range(BLOCKS)])).alias("p"))
+    prints = cut.select("fp").distinct()  # copies of a passage are searched once
+    probes = prints.select("fp", F.explode(F.array(*[F.struct(F.lit(k).alias("t"), _block(F.col("fp"), k).alias("v")) for k in range(BLOCKS)])).alias("p"))
 
     near = [sum(1 << b for b in c) for r in range(RADIUS // BLOCKS + 1) for c in itertools.combinations(range(_BITS), r)]
     tables = items.select("item", shingles("seq").alias("item_parts")).select("*", simhash("item_parts").alias("item_fp"))
@@ -101,10 +102,10 @@ def matches(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text:
     entered = entered.select("item", "item_fp", "t", F.col("v").bitwiseXOR(F.col("flip")).alias("v"))
 
     hamming = F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp")))
-    found = probes.select("doc", "start", "length", "fp", F.col("p.t").alias("t"), F.col("p.v").alias("v")).join(entered, ["t", "v"])
-    found = found.where(hamming <= RADIUS).select("doc", "start", "length", "item", hamming.alias("hamming")).distinct()
-
-    with_parts = found.join(cut.select(F.col("doc").alias("d"), F.col("start").alias("s"), F.col("length").alias("l"), "parts"), F.col("doc").eqNullSafe(F.col("d")) & (F.col("start") == F.col("s")) & (F.col("length") == F.col("l")))
+    found = probes.select("fp", F.col("p.t").alias("t"), F.col("p.v").alias("v"))
+    found = found.join(entered.hint("merge"), ["t", "v"])  # thousands of rows an item: not to be broadcast
+    found = found.where(hamming <= RADIUS).select("fp", "item", hamming.alias("hamming")).distinct()
+    with_parts = cut.join(found, "fp")
     with_parts = with_parts.join(tables.select(F.col("item").alias("i"), "item_parts"), F.col("item").eqNullSafe(F.col("i")))
     both = _weight(F.array_intersect("parts", "item_parts"))
     alike = (both / (_weight(F.col("parts")) + _weight(F.col("item_parts")) - both)).alias("similarity")
