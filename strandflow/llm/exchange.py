@@ -80,14 +80,19 @@ def _reply(round_: int, b: int, gs: list[int], status: np.ndarray, sizes: np.nda
     return pa.table([pa.array([round_] * n, pa.int32()), pa.array(gs, pa.int32()), pa.array([b] * n, pa.int32()), pa.array(cut, pa.binary())], schema=_ANSWERED)
 
 
+def repeated_in(table: pa.Table, round_: int, width: int) -> pa.Table:
+    """One bucket's answers for ``repeated``."""
+    gs, keys, multi, sizes = _by_blob(table, width)
+    _, twice, place = distinct(keys)
+    status = (twice[place] | (np.bincount(place, multi, len(twice))[place] > 0)).astype(np.uint8)
+    return _reply(round_, table.column("b")[0].as_py(), gs, status, sizes)
+
+
 def repeated(asked: DataFrame, round_: int, width: int) -> DataFrame:
     """Answers 1 for each hash of ``width`` 64-bit words that two groups hold or one group holds twice, else 0."""
 
     def resolve(table: pa.Table) -> pa.Table:
-        gs, keys, multi, sizes = _by_blob(table, width)
-        _, twice, place = distinct(keys)
-        status = (twice[place] | (np.bincount(place, multi, len(twice))[place] > 0)).astype(np.uint8)
-        return _reply(round_, table.column("b")[0].as_py(), gs, status, sizes)
+        return repeated_in(table, round_, width)
 
     return asked.groupBy("b").applyInArrow(resolve, ANSWERED)
 
@@ -96,6 +101,23 @@ def repeated(asked: DataFrame, round_: int, width: int) -> DataFrame:
 NONE, ALL, SOME, ALL_AND_SHOW = 0, 1, 2, 3
 
 
+def refined_in(table: pa.Table, round_: int) -> pa.Table:
+    """One bucket's answers for ``refined``."""
+    gs, keys, multi, sizes = _by_blob(table, 3)
+    _, twice, whole = distinct(keys)
+    again = (twice | (np.bincount(whole, multi, len(twice)) > 0))[whole] & keys[:, 1:].any(axis=1)
+    _, twice, core = distinct(keys[:, :1])
+    shared = (twice | (np.bincount(core, multi, len(twice)) > 0))[core]
+    low, high = np.full(len(twice), len(keys)), np.full(len(twice), -1)
+    np.minimum.at(low, core, whole)
+    np.maximum.at(high, core, whole)
+    mixed = (low != high)[core]
+    first = np.zeros(len(keys), bool)
+    first[np.unique(whole, return_index=True)[1]] = True
+    status = np.where(~shared, NONE, np.where(again, np.where(mixed & first, ALL_AND_SHOW, ALL), SOME)).astype(np.uint8)
+    return _reply(round_, table.column("b")[0].as_py(), gs, status, sizes)
+
+
 def refined(asked: DataFrame, round_: int) -> DataFrame:
     """Answers for keys (core, whole, whole'): what is known of the members of a core bucket once it is sorted by whole.
 
@@ -105,18 +127,6 @@ def refined(asked: DataFrame, round_: int) -> DataFrame:
     """
 
     def resolve(table: pa.Table) -> pa.Table:
-        gs, keys, multi, sizes = _by_blob(table, 3)
-        _, twice, whole = distinct(keys)
-        again = (twice | (np.bincount(whole, multi, len(twice)) > 0))[whole] & keys[:, 1:].any(axis=1)
-        _, twice, core = distinct(keys[:, :1])
-        shared = (twice | (np.bincount(core, multi, len(twice)) > 0))[core]
-        low, high = np.full(len(twice), len(keys)), np.full(len(twice), -1)
-        np.minimum.at(low, core, whole)
-        np.maximum.at(high, core, whole)
-        mixed = (low != high)[core]
-        first = np.zeros(len(keys), bool)
-        first[np.unique(whole, return_index=True)[1]] = True
-        status = np.where(~shared, NONE, np.where(again, np.where(mixed & first, ALL_AND_SHOW, ALL), SOME)).astype(np.uint8)
-        return _reply(round_, table.column("b")[0].as_py(), gs, status, sizes)
+        return refined_in(table, round_)
 
     return asked.groupBy("b").applyInArrow(resolve, ANSWERED)

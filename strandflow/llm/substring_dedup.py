@@ -20,6 +20,8 @@ WINDOW = 35
 PERIOD, COVER = 21, (0, 1, 4, 14, 16)
 ANCHOR = WINDOW - PERIOD + 1
 
+#: Words that are hashed together.
+BLOCK_WORDS = 1 << 18
 #: Word separators: space, tab, line feed, vertical tab, form feed, carriage return.
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -51,10 +53,16 @@ class Words:
         self.count = np.diff(self.word_end, prepend=0)
         self.limit = np.repeat(self.word_end, self.count)
         self.place = np.arange(len(self.start)) - np.repeat(self.word_end - self.count, self.count)
-        prefix = _IN_WORD.prefix(_BYTE[self.data])
-        word = mix(_IN_WORD.spans(prefix, self.start, self.end) + (self.end - self.start).astype(np.uint64))
+        word = np.concatenate([np.zeros(0, np.uint64), *(self._hashes(k, k + BLOCK_WORDS) for k in range(0, len(self.start), BLOCK_WORDS))])
         self.prefix = [roll.prefix(word) for roll in _OVER_WORDS]
 
+    def _hashes(self, first: int, last: int) -> np.ndarray:
+        """Hashes of some words, by prefix sums over their bytes only: a long text needs no array of all its bytes."""
+        start, end = self.start[first:last], self.end[first:last]
+        low = start[0]
+        prefix = _IN_WORD.prefix(_BYTE[self.data[low : end[-1]]])
+        return mix(_IN_WORD.spans(prefix, start - low, end - low) + (end - start).astype(np.uint64))
+
     def name(self, at: np.ndarray, length: int, which: int) -> np.ndarray:
         return mix(_OVER_WORDS[which].spans(self.prefix[which], at, at + length))
 

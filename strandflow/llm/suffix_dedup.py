@@ -56,9 +56,13 @@ def _join(left: np.ndarray, right: np.ndarray, salt: int) -> np.ndarray:
 
 
 class Piece:
-    """Whole documents, one after the other, as one byte array, with the windows that may start in them."""
+    """Whole documents, one after the other, or a stretch of a long one, with the windows that may start in them.
 
-    def __init__(self, bodies: list[bytes]):
+    Of a stretch the windows from ``start`` on count. If the document goes on (``more``), the last run of windows with
+    one anchor is left to the next stretch, which begins at ``next``: no run is ever seen in two stretches.
+    """
+
+    def __init__(self, bodies: list[bytes], start: int = 0, more: bool = False):
         self.sizes = np.array([len(b) for b in bodies], np.int64)
         self.ends = np.cumsum(self.sizes)
         self.data = np.frombuffer(b"".join(bodies), np.uint8)
@@ -66,7 +70,11 @@ class Piece:
         n = len(self.data)
         self.limit = np.repeat(self.ends, self.sizes)  # end of the document of each byte
         self.begin = np.repeat(self.ends - self.sizes, self.sizes)
-        if n < LENGTH or not (valid := np.arange(n - LENGTH + 1) + LENGTH <= self.limit[: n - LENGTH + 1]).any():
+        if n < LENGTH:
+            return
+        window = np.arange(n - LENGTH + 1)
+        valid = (window + LENGTH + (STEP if more else 0) <= self.limit[: len(window)]) & (window >= start)
+        if not valid.any():
             return
         prefix = _ROLL.prefix(_LETTER[self.data])
         self.first = mix((prefix[Q:] - prefix[:-Q]) * _ROLL.down[: n - Q + 1])  # the initial buckets
@@ -76,6 +84,9 @@ class Piece:
         own = anchor[at]
         new = np.flatnonzero(np.append(True, (own[1:] != own[:-1]) | (np.diff(at) > 1)))
         self.runs = np.stack([own[new], at[new], at[np.append(new[1:], len(at)) - 1]], axis=1)
+        if more:
+            self.next = int(self.runs[-1, 1])
+            self.runs = self.runs[:-1]
 
     def bucket(self, at: np.ndarray, depth: int, salt: int = 0) -> np.ndarray:
         """Identifiers at depth Q, 2Q, 4Q, 8Q of the suffixes ``at``, from those of half the depth at two offsets."""
@@ -121,26 +132,36 @@ def _spread(flags: np.ndarray, parts: list[np.ndarray]) -> list[np.ndarray]:
 
 
 class Group:
-    """The documents of one group and how far their suffixes are refined."""
+    """The documents of one group, in an order that only the rows determine."""
 
     def __init__(self, table: pa.Table):
         self.g = table.column("g")[0].as_py()
-        order = table.column("id").to_pylist()
-        bodies = table.column("body").to_pylist()
-        ranked = sorted(range(len(order)), key=lambda i: (order[i] is None, order[i] or 0, bodies[i]))
-        self.ids, self.bodies = [order[i] for i in ranked], [bodies[i] for i in ranked]
+        ids, bodies = table.column("id").to_pylist(), table.column("body").to_pylist()
+        ranked = sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] or 0, bodies[i]))
+        self.ids, self.bodies = [ids[i] for i in ranked], [bodies[i] for i in ranked]
         self.rest = table.column("rest").take(pa.array(ranked, pa.int64())) if "rest" in table.column_names else None
 
-    def __iter__(self):
-        held, size = [], 0
+    def pieces(self):
+        """(documents, piece, where it begins in the document): of about CHUNK_BYTES, longer documents in stretches."""
+        held: list[int] = []
+        size = 0
         for i, body in enumerate(self.bodies):
             if held and size + len(body) > CHUNK_BYTES:
-                yield held
+                yield held, Piece([self.bodies[k] for k in held]), 0
                 held, size = [], 0
-            held.append(i)
-            size += len(body)
+            if len(body) <= 2 * CHUNK_BYTES:
+                held.append(i)
+                size += len(body)
+                continue
+            start, more = 0, True
+            while more:
+                low, high = max(0, start - STEP), start + CHUNK_BYTES + LENGTH + 2 * STEP
+                more = high < len(body)
+                piece = Piece([body[low:high]], start - low, more)
+                yield [i], piece, low
+                start = low + piece.next if more else start
         if held:
-            yield held
+            yield held, Piece([self.bodies[k] for k in held]), 0
 
 
 def _keys(parts: list[np.ndarray], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -148,9 +169,10 @@ def _keys(parts: list[np.ndarray], width: int) -> tuple[np.ndarray, np.ndarray,
 
 
 def refine(table: pa.Table, answered: pa.Table | None, rounds: int):
-    """What a group asks after ``rounds`` answered rounds, or with all three the marks of its removed bytes."""
+    """What a group asks after ``rounds`` answered rounds, or after all three the marks of each document's removed bytes."""
     group = Group(table)
-    work = [Piece([group.bodies[i] for i in held]) for held in group]
+    spread = list(group.pieces())
+    work = [w for _, w, _ in spread]
     parts = [w.anchors() for w in work]
     keys, multi, place = _keys(parts, 1)
     if rounds == 0:
@@ -168,15 +190,18 @@ def refine(table: pa.Table, answered: pa.Table | None, rounds: int):
     if rounds == 2:
         return group, keys, multi
     again = _spread(exchange.answers(answered, 3, len(keys))[place] > 0, parts)
-    marks = []
-    for w, (span, _), s, (at, _), flag in zip(work, cells, state, single, again):
+    gone: dict[int, np.ndarray] = {}
+    for (docs, w, low), (span, _), s, (at, _), flag in zip(spread, cells, state, single, again):
         settled = span[(s == exchange.ALL) | (s == exchange.ALL_AND_SHOW)]
         step = np.zeros(len(w.data) + 1, np.int32)
         for starts, ends in ((settled[:, 0], settled[:, 1] + LENGTH), (at[flag], at[flag] + LENGTH)):
             np.add.at(step, starts, 1)
             np.add.at(step, ends, -1)
-        marks.append((w, np.cumsum(step[:-1]) > 0))
-    return group, marks, None
+        cut = np.cumsum(step[:-1]) > 0
+        for i, size, end in zip(docs, w.sizes, w.ends):
+            mine = gone.setdefault(i, np.zeros(len(group.bodies[i]), bool))
+            mine[low : low + size] |= cut[end - size : end]
+    return group, gone, None
 
 
 def find_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", carry: list[str] | None = None) -> DataFrame:
@@ -203,15 +228,14 @@ def find_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ca
 
     def result(table: pa.Table, answered: pa.Table) -> pa.Table:
         rows = {"n_bytes": [], "n_removed": [], "spans": [], "kept": []}
-        group, marks, _ = refine(table, answered, 3)
-        for w, gone in marks:
-            for size, end in zip(w.sizes, w.ends):
-                cut = gone[end - size : end]
-                edge = np.flatnonzero(np.diff(np.concatenate([[0], cut.view(np.int8), [0]])))
-                rows["n_bytes"].append(int(size))
-                rows["n_removed"].append(int(cut.sum()))
-                rows["spans"].append([{"start": int(a), "end": int(b)} for a, b in edge.reshape(-1, 2)])
-                rows["kept"].append(w.data[end - size : end][~cut].tobytes())
+        group, gone, _ = refine(table, answered, 3)
+        for i, body in enumerate(group.bodies):
+            cut = gone[i]
+            edge = np.flatnonzero(np.diff(np.concatenate([[0], cut.view(np.int8), [0]])))
+            rows["n_bytes"].append(len(body))
+            rows["n_removed"].append(int(cut.sum()))
+            rows["spans"].append([{"start": int(a), "end": int(b)} for a, b in edge.reshape(-1, 2)])
+            rows["kept"].append(np.frombuffer(body, np.uint8)[~cut].tobytes())
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         types = {"n_bytes": pa.int64(), "n_removed": pa.int64(), "spans": kind, "kept": pa.binary()}
         out = {"id": pa.array(group.ids, pa.int64())} | {c: pa.array(v, types[c]) for c, v in rows.items()}

@@ -6,6 +6,8 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import xxhash
 
@@ -77,6 +79,41 @@ def test_suffix_dedup_answers_do_not_depend_on_groups(spark, monkeypatch):
     assert seen[0] == seen[1]
 
 
+def without_spark(texts, groups, n=3):
+    """All rounds of the suffix dedup in this process."""
+    tables = [pa.table({"g": pa.array([g] * len(ids), pa.int32()), "id": ids, "body": pa.array([(texts[i] or "").encode() for i in ids], pa.binary())}) for g, ids in enumerate(np.array_split(np.arange(len(texts)), groups)) if len(ids)]
+    answered = exchange._ANSWERED.empty_table()
+    for rounds, resolve in enumerate((lambda t: exchange.repeated_in(t, 1, 1), lambda t: exchange.refined_in(t, 2), lambda t: exchange.repeated_in(t, 3, 2))):
+        asked = pa.concat_tables([exchange.ask(g, *suffix_dedup.refine(t, answered.filter(pc.equal(answered["g"], g)), rounds)[1:], n) for g, t in enumerate(tables)])
+        replies = [resolve(asked.filter(pc.equal(asked["b"], b))) for b in pc.unique(asked["b"]).to_pylist()]
+        answered = pa.concat_tables([answered, *replies])
+    out = {}
+    for g, t in enumerate(tables):
+        group, gone, _ = suffix_dedup.refine(t, answered.filter(pc.equal(answered["g"], g)), 3)
+        out |= {i: gone[k] for k, i in enumerate(group.ids)}
+    return out
+
+
+@pytest.mark.parametrize("chunk", [300, 700, 5000])
+def test_long_texts_in_stretches_equal_brute_force(monkeypatch, chunk):
+    monkeypatch.setattr(suffix_dedup, "CHUNK_BYTES", chunk)
+    texts = byte_texts(chunk)
+    bodies = [(t or "").encode() for t in texts]
+    count = Counter(b[i : i + 200] for b in bodies for i in range(len(b) - 199))
+    got = without_spark(texts, 4)
+    for i, b in enumerate(bodies):
+        assert (got[i] == covered(b, 200, count)).all()
+
+
+def test_words_hashed_in_blocks_are_the_same(monkeypatch):
+    body = [b"  one two three\tfour " * 50, b"", b"x", b"one two three four"]
+    whole = substring_dedup.Words(body)
+    monkeypatch.setattr(substring_dedup, "BLOCK_WORDS", 7)
+    parts = substring_dedup.Words(body)
+    at = whole.anchors()
+    assert (whole.name(at, 15, 0) == parts.name(at, 15, 0)).all()
+
+
 def test_remove_repeats_keeps_the_columns(spark):
     df = table(spark, ["é" * 150 + "ab" + "x" * 200, "c" + "x" * 200, None])
     out = suffix_dedup.remove_repeats(df)
