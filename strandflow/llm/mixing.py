@@ -68,18 +68,17 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: s
     """The rows of ``docs``, each as often as its draw says, with ``copy`` (from 0) and ``shuffle_key``, in shuffled order.
 
     A null id or source takes part like any other value, a null text has size 0, and repeated rows have the draw of
-    their id. An empty table gives no rows; all columns are kept.
+    their id. An empty table gives no rows; all columns are kept, but columns named ``copy`` or ``shuffle_key`` replaced.
     """
-    known = rates(docs, source, text, weights, temperature).select(F.col("source").alias("rate_of"), "rate")
-    known = known.where("rate > 0")
+    known = rates(docs, source, text, weights, temperature).select(F.col("source").alias("_mix_of"), F.col("rate").alias("_mix_rate")).where("rate > 0")
     if known.count() <= BROADCAST_ROWS:
         known = F.broadcast(known)
-    own = docs.join(known, docs[source].eqNullSafe(F.col("rate_of"))).drop("rate_of")
-    parts = F.greatest(F.lit(1), F.ceil(F.col("rate") / PART).cast("int"))
-    draws = F.transform(F.sequence(F.lit(0), parts - 1), lambda k: poisson(F.col("rate") / parts, uniform(seed, F.col(doc_id), k)))
-    count = F.aggregate(draws, F.lit(0).cast("long"), lambda n, x: n + x)
-    copies = own.withColumn("copies_", count).where("copies_ > 0")
-    copies = copies.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies_") - 1))).drop("copies_", "rate")
+    own = docs.join(known, docs[source].eqNullSafe(F.col("_mix_of"))).drop("_mix_of")
+    rate = F.col("_mix_rate")
+    parts = F.greatest(F.lit(1), F.ceil(rate / PART).cast("int"))
+    draws = F.transform(F.sequence(F.lit(0), parts - 1), lambda k: poisson(rate / parts, uniform(seed, F.col(doc_id), k)))
+    copies = own.withColumn("_mix_copies", F.aggregate(draws, F.lit(0).cast("long"), lambda n, x: n + x)).where("_mix_copies > 0")
+    copies = copies.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_mix_copies") - 1))).drop("_mix_copies", "_mix_rate")
     keyed = copies.withColumn("shuffle_key", F.md5(F.concat_ws("|", F.lit(seed), F.lit("order"), F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.col("copy").cast("string"))))
     parallel = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return keyed.repartition(parallel, "shuffle_key").sortWithinPartitions("shuffle_key")

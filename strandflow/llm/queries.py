@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandflow.llm import decontaminate, fingerprints, html_text, language_id, licenses, mixing, simhash_dedup, substring_dedup, suffix_dedup, warc
+from strandflow.llm import decontaminate, fingerprints, html_text, language_id, licenses, mixing, oracles, simhash_dedup, substring_dedup, suffix_dedup, warc
 from strandflow.llm.common import read
 
 
@@ -16,7 +16,8 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.matches(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    found = decontaminate.matches(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.drop("hamming")
 
 
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,6 +79,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op1_license_scan": licenses.sql(),
+    "op2_decontaminate": oracles.DECONTAMINATE,
     "op3_source_mix": mixing.SQL,
+    "op5_substring_dedup": oracles.SUBSTRING_DEDUP,
     "op8_warc_fixity": warc.SQL,
+    "op10_suffix_dedup": oracles.SUFFIX_DEDUP,
 }
