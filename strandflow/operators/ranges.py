@@ -100,7 +100,17 @@ def ordered(rows: DataFrame, *order: str, by: tuple[str, ...] = (), ranges: int
     """``rows`` dealt to ranges of ``order[0]``, by edges that the driver takes from a sample of bounded size."""
     first = order[0]
     sample = rows.select(first).where(F.col(first).isNotNull()).orderBy(F.xxhash64(first)).limit(SAMPLE)
-    values = [r[0] for r in sample.distinct().orderBy(first).collect()]
-    step = max(1, len(values) // ranges)
-    place = sum((F.when(F.col(first) >= F.lit(e), 1).otherwise(0) for e in values[step::step]), F.lit(0))
-    return Ordered(rows.withColumn(RANGE, F.coalesce(place, F.lit(0))), tuple(order), by)
+    values = sorted({r[0] for r in sample.collect()})
+    if len(values) < SAMPLE // 2:  # the sample is the table
+        ranges = min(ranges, 1 + len(values) // 512)
+    step = max(1, -(-len(values) // ranges))
+    place = F.coalesce(_place(F.col(first), values[step::step], 0), F.lit(0))
+    return Ordered(rows.withColumn(RANGE, place), tuple(order), by)
+
+
+def _place(col: Column, edges: list, before: int) -> Column:
+    """``before`` plus the number of ``edges`` that are no larger, by halving."""
+    if not edges:
+        return F.lit(before)
+    half = len(edges) // 2
+    return F.when(col >= F.lit(edges[half]), _place(col, edges[half + 1 :], before + half + 1)).otherwise(_place(col, edges[:half], before))

@@ -5,7 +5,7 @@ from pyspark.sql import Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strandflow.operators import apply, batches, changes, positions, reread
+from strandflow.operators import apply, batches, changes, positions, ranges, reread
 from strandflow.operators.ranges import last_known, number, ordered, previous, running_sum
 from strandflow.plans.plan import bind, bind_all, column_of, quoted, route
 from strandflow.sources.tables import image_type, routed_or_fail
@@ -182,7 +182,8 @@ def test_safe_positions_equal_a_fold(spark, seed):
     assert got == list(fold_positions(log))
 
 
-def test_scans_in_ranges_equal_plain_python(spark):
+def test_scans_in_ranges_equal_plain_python(spark, monkeypatch):
+    monkeypatch.setattr(ranges, "SAMPLE", 60)
     rnd = random.Random(5)
     rows = [(g, n, rnd.choice([None, rnd.randint(0, 9)])) for g in "ab" for n in rnd.sample(range(1000), 120)]
     df = spark.createDataFrame(rows, "g string, n long, v long")
