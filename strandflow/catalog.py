@@ -6,7 +6,7 @@ deletes, a signup or a user's first event inserts, any other event updates the u
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from strandflow.functions import values
 from strandflow.operators import apply, batches, changes, metrics, positions, reread, snapshot
 from strandflow.plans.plan import TablePlan, bind, column_of, quoted, route
-from strandflow.session import table
+from strandflow.session import shared_folder, table
 from strandflow.sources import tables
 from strandflow.sources.index_store import IndexStore
 from strandflow.spec import TableSpec
@@ -383,7 +383,7 @@ def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(_APPLY_SQL)
 def stream_equals_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The change log as files, streamed into an index; its documents as they are then."""
-    folder = tempfile.mkdtemp(prefix="strandflow-")
+    folder = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
     plan = _users(spark, sf_dir)
     _log(spark, sf_dir).drop("before_present", "after_present", "before_unknown", "after_unknown").repartitionByRange(4, "seq").write.parquet(f"{folder}/changes")
     stored = spark.read.parquet(f"{folder}/changes")

@@ -7,12 +7,8 @@ changes nothing. Reading the current index leaves the deletes out.
 from __future__ import annotations
 
 import json
-import os
-import shutil
-import tempfile
 import uuid
 from functools import reduce
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,32 +16,20 @@ from pyspark.sql import functions as F
 from strandflow.operators.apply import last_operations, live, merged, ops_columns
 from strandflow.operators.snapshot import keyed_documents
 from strandflow.plans.plan import TablePlan
+from strandflow.sources.files import Files
 
 
 class IndexStore:
     """Indexes under ``root``, a folder that all executors share. Each has versions, a pointer and its settings."""
 
     def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, Path(root)
-
-    def _pointer(self, index: str) -> Path:
-        return self.root / index / "current.json"
+        self.spark, self.files = spark, Files(spark, root)
 
     def _read(self, index: str) -> dict:
-        try:
-            return json.loads(self._pointer(index).read_text())
-        except FileNotFoundError:
-            return {}
+        return json.loads(self.files.read(f"{index}/current.json") or "{}")
 
     def _swap(self, index: str, value: dict) -> None:
-        target = self._pointer(index)
-        target.parent.mkdir(parents=True, exist_ok=True)
-        handle, temporary = tempfile.mkstemp(dir=target.parent)
-        with os.fdopen(handle, "w") as out:
-            json.dump(value, out)
-            out.flush()
-            os.fsync(out.fileno())
-        os.replace(temporary, target)
+        self.files.replace(f"{index}/current.json", json.dumps(value))
 
     def exists(self, index: str) -> bool:
         return bool(self._read(index))
@@ -56,7 +40,7 @@ class IndexStore:
     def state(self, index: str) -> DataFrame | None:
         """The last operation of every document, or None if nothing was applied yet."""
         version = self._read(index).get("version")
-        return self.spark.read.parquet(str(self.root / index / version)) if version else None
+        return self.spark.read.parquet(self.files.path(f"{index}/{version}")) if version else None
 
     def documents(self, index: str) -> DataFrame | None:
         state = self.state(index)
@@ -67,7 +51,7 @@ class IndexStore:
         for index in dict.fromkeys(p.spec.index for p in plans):
             now = self._read(index)
             if recreate:
-                shutil.rmtree(self.root / index, ignore_errors=True)
+                self.files.delete(index)
                 now = {}
             elif clear:
                 now = {"settings": now.get("settings", {})}
@@ -85,10 +69,10 @@ class IndexStore:
         state = self.state(index)
         after = last_operations(ops.select(*ops_columns())) if state is None else merged(state, ops)
         version = f"v-{batch}"
-        after.write.mode("overwrite").parquet(str(self.root / index / version))
+        after.write.mode("overwrite").parquet(self.files.path(f"{index}/{version}"))
         self._swap(index, now | {"version": version, "batch": batch})
         if (old := now.get("version")) and old != version:
-            shutil.rmtree(self.root / index / old, ignore_errors=True)
+            self.files.delete(f"{index}/{old}")
 
     def load_snapshot(self, plans: list[TablePlan]) -> None:
         """Every document of the plans, after what the index has of earlier runs and before any later change."""
