@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import math
-import tempfile
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strandflow.session import checkpointed, shared_folder  # noqa: F401  also for the other modules
+
 #: Bytes of text one group of documents holds on average; a Python task works on one group.
 GROUP_BYTES = 4 << 20
 #: Bytes of text that are turned into numpy arrays together.
@@ -19,23 +20,6 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names in ``spark.checkpoint.dir``; a temporary one only where that is unset (tests)."""
-    if found := spark.conf.get("spark.checkpoint.dir", None):
-        return found
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoint-"))
-    return spark.sparkContext.getCheckpointDir()
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared folder, so that later plans start from its files and survive lost executors."""
-    folder = shared_folder(df.sparkSession)
-    if df.sparkSession.sparkContext.getCheckpointDir() is None:
-        df.sparkSession.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
-
-
 def text_bytes(docs: DataFrame, text: str) -> int:
     """Bytes of all texts: one aggregate over the text column."""
     return docs.agg(F.sum(F.octet_length(text).cast("long")).alias("n")).first()["n"] or 0
