@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CREDIT = 1.0
+#: Letters that a known word has at least, if others may begin with it.
+STEM = 5
 
 # Labelled pages. What stands between [[ and ]] is main text.
 LABELLED = [
@@ -33,6 +35,8 @@ LABELLED = [
     '<body>[[<h1>Plain</h1><p>Some pages have nothing but text in them.</p><p>They are the easy ones.</p><pre>and code</pre>]]</body>',
     '<body><div class="ads">Cheap shoes</div><div class="main">[[<h1>Hills</h1><p>Three hills stand north of here.</p><p>The middle one is the highest.</p>]]<div class="toolbar share">Print or send</div></div><div class="sidebar"><p>About the author</p></div><div class="disclaimer notices">No liability is taken</div></body>',
     '<body><nav class="menu"><a>One</a></nav><article>[[<h1>Fog</h1><p>Fog came in over the wall.</p>]]<div class="ad">Lamps on sale</div>[[<p>It left at ten.</p>]]<div class="discussion"><p>First comment here</p></div></article><aside class="recommended">You may like this</aside></body>',
+    '<body><div role="banner">The site</div><div role="navigation"><a>Map</a></div><div role="complementary">Weather</div><div id="main-content" class="story">[[<h1>Snow</h1><p>It snowed on the pass and the post came late by a day.</p>]]</div><section id="respond" class="reply"><h3>Leave a reply</h3><p>Name and mail</p></section><div role="contentinfo">Imprint</div></body>',
+    '<body><menu><li>Cut</li><li>Paste</li></menu><dialog open><p>Join our list today</p></dialog><search><p>Find a word</p></search><div class="copyright">All rights</div>[[<h2>Ink</h2><p>Ink was made from soot and gum, and kept in horns.</p>]]<div class="feedback">Was this of use?</div><div class="skip hidden">Skip to text</div></body>',
     '<body class="home page"><div id="site" class="site list wrapper container layout"><div class="tags list">wind, sea</div>[[<h1>Kites</h1><p>A kite needs wind, string and a field without trees in it.</p><p>On the coast there is always wind, and the fields are wide.</p>]]<div class="footer">Printed here</div></div></body>',
     '<body><div id="site" class="site"><div class="list view">[[<p>Bees find their way home by the sun, and on cloudy days by landmarks that they learned before.</p>]]</div><div class="popup">Stay with us</div></div></body>',
 ]
@@ -112,9 +116,16 @@ class Weights:
         self.feature = {f: math.log((main[f] + 0.5) / (main[""] + 1)) - math.log((other[f] + 0.5) / (other[""] + 1)) for f in main.keys() | other.keys() if f}
         self.tag = {t: -0.02 - 0.5 * tag_other[t] / (tag_main[t] + tag_other[t]) for t in tag_main.keys() | tag_other.keys()}
 
+    def weight(self, feature: str) -> float:
+        """A feature's weight; a word of a class that no page has, as commentlist, counts as one that it begins with."""
+        if feature not in self.feature and feature[0] == ".":
+            known = [f for f in self.feature if len(f) > STEM and feature.startswith(f)]
+            self.feature[feature] = self.feature[max(known, key=len)] if known else 0.0
+        return self.feature.get(feature, 0.0)
+
     def sums(self, around: tuple[str, ...], has: bool) -> float:
         """What is for main text counts up to CREDIT in all, so that no wrapper outweighs a sign of boilerplate in it."""
-        known = [self.feature.get(f, 0.0) for f in _context(around, has)]
+        known = [self.weight(f) for f in _context(around, has)]
         return min(CREDIT, sum(w for w in known if w > 0)) + sum(w for w in known if w < 0)
 
 

@@ -336,7 +336,7 @@ def test_html_query_on_all_pages(spark, sf_dir):
     ("<body><nav><a>Home</a></nav><main><h1>T</h1><p>x y z</p><form><label>Mail</label><input></form><aside>see also</aside></main><footer>c</footer>", "T x y z"),
     ("<body><div class=sidebar><p>side words here</p></div><div class='content'><p>main words are here</p><script>var p='<p>no</p>'</script><style>p{}</style></div>", "main words are here"),
     ("<article><p>a < b and b > a</p><!-- gone <p>x</p> --><p>end</p></article>", "a < b and b > a end"), ("<p>open <b>tags <i>stay</p><p unclosed", "open tags stay"),
-    ("<nav>only menus</nav>", ""), ("<div class='cookie-notice'>We use cookies</div><p>Text</p>", "Text"),
+    ("<article><p>Text of it.</p><ol class=commentlist><li>First!</li></ol></article>", "Text of it."), ("<nav>only menus</nav>", ""), ("<div class='cookie-notice'>We use cookies</div><p>Text</p>", "Text"),
 ])
 def test_html_cases(page, want):
     assert html_text.extract(page, WEIGHTS) == want
