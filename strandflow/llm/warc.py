@@ -40,23 +40,29 @@ def manifest(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
     return rows.select("file", F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long").alias("offset"), "length", "record_id", "digest")
 
 
-def _folded(level: DataFrame, *key: Column | str) -> DataFrame:
-    """The next level: each key's children in order, hashed together."""
-    parts = F.transform(F.array_sort(F.collect_list(F.struct("file", "node", "hash"))), lambda c: F.concat_ws(":", c["file"].cast("string"), c["node"].cast("string"), c["hash"]))
-    return level.groupBy(*key).agg(F.sha2(F.array_join(parts, "\n"), 256).alias("hash"))
+SIDES = ("ours", "theirs")
+
+
+def _joined(children: list[Column], side: str) -> Column:
+    """One side's hash of a node: of its children in order, null if that side has none."""
+    kept = F.array_sort(F.collect_list(F.when(F.col(side).isNotNull(), F.struct(*children, F.col(side).alias("hash")))))
+    lines = F.transform(kept, lambda c: F.concat_ws(":", *[F.coalesce(c[n].cast("string"), F.lit("-")) for n in ("a", "b", "hash")]))
+    return F.when(F.size(kept) > 0, F.sha2(F.array_join(lines, "\n"), 256)).alias(side)
 
 
 def tree(records: DataFrame, offset_levels: int, file_levels: int) -> list[DataFrame]:
-    """Levels (file, node, hash) from the leaves to the root."""
-    leaf = F.array_sort(F.collect_list(F.struct("offset", "record_id", "digest")))
-    lines = F.transform(leaf, lambda c: F.concat_ws(":", c["offset"].cast("string"), F.coalesce(c["record_id"].cast("string"), F.lit("-")), c["digest"]))
-    leaves = records.groupBy("file", F.shiftright("offset", RANGE_BITS).alias("node")).agg(F.sha2(F.array_join(lines, "\n"), 256).alias("hash"))
-    levels = [checkpointed(leaves)]
-    for _ in range(offset_levels):
-        levels.append(_folded(levels[-1], "file", F.shiftright("node", FAN_BITS).alias("node")))
-    for _ in range(file_levels):
-        up = _folded(levels[-1], F.shiftright("file", FAN_BITS).alias("file"), "node")
-        levels.append(up)
+    """Levels (file, node, ours, theirs) from the leaves to the root, of both replicas side by side.
+
+    A leaf has the records of 2**RANGE_BITS offsets, an upper node 2**FAN_BITS children. Each level is settled in the
+    checkpoint folder, so the next starts from its files.
+    """
+    own = [F.col("offset").alias("a"), F.col("record_id").alias("b")]
+    level = records.groupBy("file", F.shiftright("offset", RANGE_BITS).alias("node")).agg(*[_joined(own, s) for s in SIDES])
+    levels = [checkpointed(level)]
+    own = [F.col("file").alias("a"), F.col("node").alias("b")]
+    up = [("file", F.shiftright("node", FAN_BITS).alias("node"))] * offset_levels + [(F.shiftright("file", FAN_BITS).alias("file"), "node")] * file_levels
+    for key in up:
+        levels.append(checkpointed(levels[-1].groupBy(*key).agg(*[_joined(own, s) for s in SIDES])))
     return levels
 
 
@@ -64,6 +70,10 @@ def _levels(bits: int) -> int:
     return max(0, -(-bits // FAN_BITS))
 
 
+def _differs() -> Column:
+    return ~F.col("ours").eqNullSafe(F.col("theirs"))
+
+
 def audit(ours: DataFrame, theirs: DataFrame) -> DataFrame:
     """(file, offset, record_id, kind, ours, theirs) for each record that differs between two manifests.
 
@@ -71,37 +81,27 @@ def audit(ours: DataFrame, theirs: DataFrame) -> DataFrame:
     manifests, two empty ones too, give no rows. Records are told apart by file, offset and id; of several with all
     three alike, their sorted digests are compared.
     """
-    sides = [checkpointed(x.select("file", "offset", "record_id", "digest")) for x in (ours, theirs)]
-    top = [x.agg(F.max("offset").alias("o"), F.max(F.abs("file")).alias("f")).first() for x in sides]
-    offset_levels = _levels(max(0, max((t["o"] or 0) for t in top).bit_length() - RANGE_BITS))
-    file_levels = _levels(max((t["f"] or 0) for t in top).bit_length())
-    trees = [tree(x, offset_levels, file_levels) for x in sides]
-    spark = ours.sparkSession
-    # above the last level that halves file numbers there are at most two nodes, -1 and 0: the root
-    roots = [sorted(tuple(r) for r in t[-1].select("file", "node", "hash").collect()) for t in trees]
-    out = "file long, offset long, record_id long, kind string, ours string, theirs string"
-    if roots[0] == roots[1]:
-        return spark.createDataFrame([], out)
-    wrong: DataFrame | None = None
-    for depth in range(len(trees[0]) - 1, -1, -1):
-        pair = [t[depth] for t in trees]
-        if wrong is not None:
-            pair = [x.join(wrong, _parent(depth, offset_levels), "left_semi") for x in pair]
-        a, b = pair[0], pair[1].withColumnRenamed("hash", "other")
-        wrong = a.join(b, ["file", "node"], "full").where(~F.col("hash").eqNullSafe(F.col("other"))).select(F.col("file").alias("bad_file"), F.col("node").alias("bad_node"))
+    none = F.lit(None).cast("string")
+    named = [x.select("file", "offset", "record_id", *[F.col("digest").alias(s) if s == side else none.alias(s) for s in SIDES]) for x, side in zip((ours, theirs), SIDES)]
+    records = checkpointed(named[0].unionByName(named[1]))
+    top = records.agg(F.max("offset").alias("o"), F.max(F.abs("file")).alias("f")).first()
+    offset_levels = _levels(max(0, (top["o"] or 0).bit_length() - RANGE_BITS))
+    levels = tree(records, offset_levels, _levels((top["f"] or 0).bit_length()))
+    # at the top there are at most two nodes, of file -1 and 0
+    wrong = levels[-1].where(_differs())
+    if wrong.isEmpty():
+        return records.sparkSession.createDataFrame([], "file long, offset long, record_id long, kind string, ours string, theirs string")
+    for depth in range(len(levels) - 2, -1, -1):
+        above = wrong.select(F.col("file").alias("bad_file"), F.col("node").alias("bad_node"))
+        file = F.col("file") if depth < offset_levels else F.shiftright("file", FAN_BITS)
+        node = F.shiftright("node", FAN_BITS) if depth < offset_levels else F.col("node")
+        wrong = levels[depth].where(_differs()).join(above, (file == F.col("bad_file")) & (node == F.col("bad_node")), "left_semi")
+    above = wrong.select(F.col("file").alias("bad_file"), F.col("node").alias("bad_node"))
     here = (F.col("file") == F.col("bad_file")) & (F.shiftright("offset", RANGE_BITS) == F.col("bad_node"))
-    digests = F.array_join(F.sort_array(F.collect_list("digest")), ",")
-    a, b = (x.join(wrong, here, "left_semi").withColumn("id", F.coalesce(F.col("record_id").cast("string"), F.lit("-"))).groupBy("file", "offset", "id").agg(digests.alias(name)) for x, name in zip(sides, ("ours", "theirs")))
-    both = a.join(b, ["file", "offset", "id"], "full").where(~F.col("ours").eqNullSafe(F.col("theirs")))
+    digests = lambda side: F.when(F.count(side) > 0, F.array_join(F.sort_array(F.collect_list(side)), ",")).alias(side)
+    found = records.join(above, here, "left_semi").groupBy("file", "offset", "record_id").agg(*map(digests, SIDES)).where(_differs())
     kind = F.when(F.col("theirs").isNull(), "missing").when(F.col("ours").isNull(), "extra").otherwise("changed")
-    return both.select("file", "offset", F.when(F.col("id") != "-", F.col("id").cast("long")).alias("record_id"), kind.alias("kind"), "ours", "theirs")
-
-
-def _parent(depth: int, offset_levels: int) -> Column:
-    """Whether a node of ``depth`` is a child of a wrong node of the level above."""
-    if depth < offset_levels:
-        return (F.col("file") == F.col("bad_file")) & (F.shiftright("node", FAN_BITS) == F.col("bad_node"))
-    return (F.shiftright("file", FAN_BITS) == F.col("bad_file")) & (F.col("node") == F.col("bad_node"))
+    return found.select("file", "offset", "record_id", kind.alias("kind"), *SIDES)
 
 
 def damaged(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
