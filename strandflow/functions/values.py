@@ -22,7 +22,8 @@ def format_time(interval: Column) -> Column:
     clock = F.format_string("%02d:%02d:%02d", part("DAY") * 24 + part("HOUR"), part("MINUTE"), F.floor(second).cast("int"))
     micros = F.round((second - F.floor(second)) * 1_000_000).cast("int")
     text = F.when(micros == 0, clock).otherwise(F.concat(clock, F.format_string(".%06d", micros)))
-    return F.when(interval < F.expr("interval '0' second"), F.concat(F.lit("-"), text)).otherwise(text)
+    signed = F.when(interval < F.expr("interval '0' second"), F.concat(F.lit("-"), text)).otherwise(text)
+    return F.when(interval.isNotNull(), signed)
 
 
 def document_value(col: Column, kind: T.DataType) -> Column:
