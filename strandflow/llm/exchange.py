@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 #: Hashes a bucket gets about, if none repeats.
-BUCKET_KEYS = 500_000
+BUCKET_KEYS = 100_000
 ASKED = "b int, g int, keys binary, multi binary"
 ANSWERED = "round int, g int, b int, status binary"
 _ASKED = pa.schema([("b", pa.int32()), ("g", pa.int32()), ("keys", pa.binary()), ("multi", pa.binary())])
