@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from strandflow.session import checkpointed, shared_folder  # noqa: F401  also for the other modules
 
 #: Bytes of text one group of documents holds on average; a Python task works on one group.
-GROUP_BYTES = 4 << 20
+GROUP_BYTES = 2 << 20
 #: Bytes of text that are turned into numpy arrays together.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

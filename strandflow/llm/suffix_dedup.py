@@ -68,12 +68,12 @@ class Piece:
         self.data = np.frombuffer(b"".join(bodies), np.uint8)
         self.runs = np.zeros((0, 3), np.int64)  # anchor, first and last window start
         n = len(self.data)
-        self.limit = np.repeat(self.ends, self.sizes)  # end of the document of each byte
-        self.begin = np.repeat(self.ends - self.sizes, self.sizes)
         if n < LENGTH:
             return
-        window = np.arange(n - LENGTH + 1)
-        valid = (window + LENGTH + (STEP if more else 0) <= self.limit[: len(window)]) & (window >= start)
+        valid = np.ones(n - LENGTH + 1, bool)
+        valid[:start] = False
+        for end in self.ends.tolist():  # no window runs past its document
+            valid[max(0, end - LENGTH + 1 - (STEP if more else 0)) : end] = False
         if not valid.any():
             return
         prefix = _ROLL.prefix(_LETTER[self.data])
@@ -110,9 +110,9 @@ class Piece:
         last = runs[run, 0] - STEP * k
         first = last - STEP + 1
         core = _join(_join(self.bucket(last, 4 * Q, 2), self.bucket(last + 4 * Q, 2 * Q, 2), 2), self.bucket(last + _CORE - 2 * Q, 2 * Q, 2), 2)
-        inside = runs[run, 1]
+        inside = np.searchsorted(self.ends, runs[run, 1], side="right")  # the document
         whole = np.zeros((len(run), 2), np.uint64)
-        fits = np.flatnonzero((first >= self.begin[inside]) & (last + LENGTH <= self.limit[inside]))
+        fits = np.flatnonzero((first >= (self.ends - self.sizes)[inside]) & (last + LENGTH <= self.ends[inside]))
         for salt in (0, 1):
             whole[fits, salt] = _join(self.bucket(first[fits], LENGTH, salt), self.bucket(last[fits], LENGTH, salt), salt)
         span = np.stack([np.maximum(first, runs[run, 1]), np.minimum(last, runs[run, 2])], axis=1)
