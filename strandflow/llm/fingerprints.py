@@ -1,12 +1,12 @@
 """Document fingerprints by winnowing, in DataFrame operations.
 
-A text's units are its words; if it is short, or has few words for its length (no white space, as in Chinese), its
-characters. Every GRAM consecutive units have a hash, every WINDOW consecutive hashes give their least one, the rightmost
-of equals, and the fingerprint is the set of those with their positions. So any run of GRAM + WINDOW - 1 units that two
-texts of the same kind of units share puts a common hash into both fingerprints, and the positions say where.
+A text has two kinds of units, its words and its characters, and is winnowed in both: every GRAM consecutive units have
+a hash, every WINDOW consecutive hashes give their least one, the rightmost of equals, and the fingerprint is the set of
+those with their positions. So any run of GRAM + WINDOW - 1 words or characters that any two texts share, however their
+lengths differ, puts a common hash into both fingerprints, and the positions say where.
 
-A picked gram is one long: 33 bits of hash above 30 bits of position; while minima are taken the position is inverted,
-so that the least value is the least hash and among equals the rightmost.
+A picked gram is one long: a bit that is 1 for characters, 33 bits of hash, 30 bits of position; while minima are taken
+the position is inverted, so that the least value is the least hash and among equals the rightmost.
 """
 
 from __future__ import annotations
@@ -17,26 +17,43 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 GRAM, WINDOW = 3, 8
-#: Code points up to which, and code points per word beyond which, a text's units are its characters.
+#: Code points up to which, and code points per word beyond which, words alone say too little of a text.
 SHORT, SPARSE = 256, 16
 _POSITION = (1 << 30) - 1
+#: Units before an edit from which on windows are looked at again: those that begin earlier pick nothing later.
+REACH = GRAM + 2 * WINDOW - 2
 #: Quantiles of doc_id that part the table, and bytes of text that a part holds about.
 QUANTILES, PART_BYTES = 256, 8 << 20
 _LONG = "array<long>"
 
 
-def winnowed(df: DataFrame, text: str, out: str) -> DataFrame:
+def _words(text: Column) -> Column:
+    return F.filter(F.split(text, r"\s+"), lambda w: w != "")
+
+
+def _chars(text: Column) -> Column:
+    return F.when(F.length(text) > 0, F.split(text, "")).otherwise(F.array().cast("array<string>"))
+
+
+def few_words(text: Column, n_words: Column) -> Column:
+    """Whether a text is short, or has few words for its length (no white space, as in Chinese)."""
+    return (F.length(text) <= SHORT) | (n_words * SPARSE < F.length(text))
+
+
+def winnowed(df: DataFrame, text: str, out: str, kind: str | None = None) -> DataFrame:
     """``df`` with ``out``: the picked grams of column ``text`` (no null), as longs, each once, in order of position.
 
-    Each step is a projection of its own whose input is used more than once, so that Spark doesn't compute it again for
-    every use.
+    ``kind`` is "words" or "characters"; without it the units are characters where words alone say too little. The bit
+    of the kind isn't set here. Each step is a projection of its own whose input is used more than once, so that Spark
+    doesn't compute it again for every use.
     """
     words, units, hashes, grams = (f"{out}_{x}" for x in ("words", "units", "hashes", "grams"))
     kept = df.columns
-    n = F.length(text)
-    df = df.select(*kept, F.filter(F.split(F.col(text), r"\s+"), lambda w: w != "").alias(words))
-    as_chars = (n <= SHORT) | (F.size(words) * SPARSE < n)
-    df = df.select(*kept, F.when(as_chars, F.regexp_extract_all(F.col(text), F.lit("(?s)."), F.lit(0))).otherwise(F.col(words)).alias(units))
+    if kind is None:
+        df = df.select(*kept, _words(F.col(text)).alias(words))
+        df = df.select(*kept, F.when(few_words(F.col(text), F.size(words)), _chars(F.col(text))).otherwise(F.col(words)).alias(units))
+    else:
+        df = df.select(*kept, (_words if kind == "words" else _chars)(F.col(text)).alias(units))
     df = df.select(*kept, F.transform(units, lambda u: F.xxhash64(u)).alias(hashes))
     size = F.size(hashes)
     packed = lambda h, i: F.shiftleft(F.shiftrightunsigned(h, 31), 30).bitwiseOR((F.lit(_POSITION) - i).cast("long"))
@@ -55,10 +72,15 @@ def winnowed(df: DataFrame, text: str, out: str) -> DataFrame:
 
 
 def as_text(picked: str) -> Column:
-    """The picked grams as 16 hex digits each: 33 bits of hash, then 30 bits of position."""
+    """The picked grams as 16 hex digits each: the bit of the kind, 33 bits of hash, 30 bits of position."""
     return F.array_join(F.transform(picked, lambda v: F.lower(F.lpad(F.hex(v.bitwiseXOR(F.lit(_POSITION))), 16, "0"))), " ")
 
 
+def characters(picked: Column) -> Column:
+    """Grams of characters, with the bit that tells them from grams of words."""
+    return F.transform(picked, lambda v: v.bitwiseOR(F.lit(-(1 << 63))))
+
+
 def hash_set(picked: str) -> Column:
     return F.array_distinct(F.transform(picked, lambda v: F.shiftright(v, 30)))
 
@@ -92,14 +114,14 @@ def in_parts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, text, picked, own, next_text, next_own) where next is the row of the next id, after the last the first.
 
-    ``own`` is the hash set of the text's fingerprint, ``picked`` the picked grams. Texts are shuffled once; the first
+    ``picked`` are the picked grams of the text's words, ``own`` is the set of their hashes. Texts are shuffled once; the first
     row of each part goes to the part before it. Rows of equal ids follow one another by text.
     """
     rows = in_parts(docs, doc_id, text)
     dealt = rows.repartition("part")
     order = Window.partitionBy("part").orderBy("id", "text")
     first = dealt.withColumn("nth", F.row_number().over(order)).where("nth = 1").select("part", "text")
-    first = winnowed(first, "text", "picked").select("part", F.col("text").alias("first_text"), hash_set("picked").alias("first_own"))
+    first = winnowed(first, "text", "picked", "words").select("part", F.col("text").alias("first_text"), hash_set("picked").alias("first_own"))
 
     parts = rows.select("part").distinct().withColumn("q", F.shiftright("part", 32))
     of_q = parts.groupBy("q").agg(F.max("part").alias("most"))
@@ -109,7 +131,7 @@ def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     steps = steps.join(F.broadcast(of_q), F.col("q") == F.col("of")).select("part", F.coalesce("inside", "before").alias("to"))
     ahead = first.join(steps, "part").select(F.col("to").alias("part"), "first_text", "first_own")
 
-    own = winnowed(dealt, "text", "picked").withColumn("own", hash_set("picked"))
+    own = winnowed(dealt, "text", "picked", "words").withColumn("own", hash_set("picked"))
     nexts = own.withColumn("lead_text", F.lead("text").over(order)).withColumn("lead_own", F.lead("own").over(order))
     joined = nexts.join(ahead, "part")
     return joined.select("id", "text", "picked", "own", F.coalesce("lead_text", "first_text").alias("next_text"), F.coalesce("lead_own", "first_own").alias("next_own"))
@@ -119,14 +141,46 @@ def compare_edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     """(doc_id, n_chars, edited, picked, edited_picked, near_edited, near_next) for each row of ``docs``.
 
     The edited text has its last floor(n_chars / 4) code points replaced by the first as many, or all, of the next
-    document's. A null text is empty; an empty text has no grams, and two empty fingerprints are alike. A single
-    document is its own next. Equal texts have equal fingerprints; an empty table gives no rows; a null doc_id comes
-    first; repeated rows come out repeated; other columns are ignored.
+    document's. Fingerprints hold the grams of words, then those of characters. Two texts are compared by both, unless
+    words say enough of each: then by words, as all long texts of a language have most grams of characters in common.
+    A null text is empty; an empty text has no grams, and two empty fingerprints are alike. A single document is its
+    own next. Equal texts have equal fingerprints; an empty table gives no rows; a null doc_id comes first; repeated
+    rows come out repeated; other columns are ignored.
     """
     rows = with_next(docs, doc_id, text).withColumn("n_chars", F.length("text").cast("long"))
     cut = F.floor(F.col("n_chars") / 4).cast("int")
-    edited = F.concat(F.substring("text", F.lit(1), F.col("n_chars").cast("int") - cut), F.substring("next_text", F.lit(1), cut))
-    rows = rows.select("id", "n_chars", "picked", "own", edited.alias("edited"), likeness("own", "next_own").alias("near_next"))
-    rows = winnowed(rows, "edited", "edited_picked").withColumn("edited_own", hash_set("edited_picked"))
+    rows = rows.withColumn("stay", F.col("n_chars").cast("int") - cut)
+    edited = F.concat(F.substring("text", F.lit(1), F.col("stay")), F.substring("next_text", F.lit(1), cut))
+    rows = rows.select("id", "n_chars", "stay", "text", "next_text", "picked", "own", "next_own", edited.alias("edited"))
+    rows = winnowed(rows, "edited", "edited_picked", "words").withColumn("edited_own", hash_set("edited_picked"))
+    few = {t: few_words(F.col(t), F.size(_words(F.col(t)))) for t in ("text", "edited", "next_text")}
+    rows = rows.withColumns({f"few_{t}": c for t, c in few.items()})
+    rows = rows.withColumns({"by_edited": F.col("few_text") | F.col("few_edited"), "by_next": F.col("few_text") | F.col("few_next_text")})
+    rows = rows.withColumn("beside", F.when(F.col("by_next"), F.col("next_text")).otherwise(F.lit("")))
+    rows = rows.drop("next_text", "few_text", "few_edited", "few_next_text")
+
+    rows = winnowed(rows, "text", "in_chars", "characters").drop("text")
+    # Windows of characters before the edit pick what they did: only from REACH before it on is picked again.
+    rows = rows.withColumn("again", F.greatest(F.lit(0), F.col("stay") - REACH))
+    rows = rows.withColumn("tail", F.substring(F.col("edited"), F.col("again") + 1, F.length("edited")))
+    rows = winnowed(rows, "tail", "tail_chars", "characters").drop("tail")
+    place = lambda v: F.lit(_POSITION) - v.bitwiseAND(F.lit(_POSITION))
+    before = F.filter("in_chars", lambda v: place(v) <= F.col("stay") - (GRAM + WINDOW - 1))
+    after = F.transform("tail_chars", lambda v: v - F.col("again"))
+    edited_chars = F.when(F.col("again") > 0, F.array_distinct(F.concat(before, after))).otherwise(F.col("tail_chars"))
+    rows = rows.withColumns({"edited_chars": characters(edited_chars), "in_chars": characters(F.col("in_chars"))}).drop("tail_chars")
+    rows = winnowed(rows, "beside", "next_chars", "characters").withColumn("next_chars", characters(F.col("next_chars")))
+
+    def both(by: str, own: str, chars: str) -> Column:
+        return F.when(F.col(by), F.concat(own, hash_set(chars))).otherwise(F.col(own))
+
+    rows = rows.withColumns({
+        "edited_a": both("by_edited", "own", "in_chars"), "edited_b": both("by_edited", "edited_own", "edited_chars"),
+        "next_a": both("by_next", "own", "in_chars"), "next_b": both("by_next", "next_own", "next_chars"),
+    })
     null_id = F.when(F.col("id") != -(1 << 63), F.col("id"))
-    return rows.select(null_id.alias(doc_id), "n_chars", "edited", "picked", "edited_picked", likeness("own", "edited_own").alias("near_edited"), "near_next")
+    return rows.select(
+        null_id.alias(doc_id), "n_chars", "edited", F.concat("picked", "in_chars").alias("picked"),
+        F.concat("edited_picked", "edited_chars").alias("edited_picked"),
+        likeness("edited_a", "edited_b").alias("near_edited"), likeness("next_a", "next_b").alias("near_next"),
+    )

@@ -292,6 +292,38 @@ def test_fingerprints_are_native(spark, sf_dir):
     assert not re.search("Python|Pandas|Arrow", plan)
 
 
+def _hashes(fingerprint):
+    return {int(g, 16) >> 30 for g in fingerprint}
+
+
+def test_fingerprints_meet_across_text_sizes(spark):
+    prose = [f"w{k * k % 9973}" for k in range(400)]
+    brief, tiny, near = " ".join(prose[100:130]), "Zebra-Quartz 47", " ".join(prose[:60])
+    han = "".join(chr(0x4E00 + k * k % 5003) for k in range(60))
+    texts = [" ".join(prose), brief, tiny, " ".join(prose[200:300]) + " " + tiny + " " + han + " " + " ".join(prose[300:]), han * 8, near[:250], near[:260], " ".join(prose)[1000:1300], "x"]
+    assert len(brief) < 256 and len(texts[7]) == 300
+    got = {r.doc_id: r for r in fingerprints.compare_edits(table(spark, texts)).collect()}
+    prints = {i: _hashes(fingerprints_of(r.picked)) for i, r in got.items()}
+    for a, b in ((0, 1), (2, 3), (3, 4), (5, 6), (0, 7)):
+        assert prints[a] & prints[b], (a, b)
+    assert got[5].near_next > 0.8 and got[7].near_edited > 0.5 and len(got[7].edited) < 256
+
+
+def fingerprints_of(picked):
+    return [f"{(v ^ fingerprints._POSITION) & (1 << 64) - 1:016x}" for v in picked]
+
+
+def test_characters_of_the_edited_text_are_as_if_picked_anew(spark):
+    prose = " ".join(f"w{k * k % 997}" for k in range(300))
+    texts = [prose[k : k + n] for k, n in enumerate((0, 1, 2, 5, 9, 10, 11, 13, 17, 20, 21, 22, 23, 24, 25, 26, 27, 40, 100, 300, 900))] + ["aaaa" * 30, "漢字😀" * 20, "é"]
+    rows = fingerprints.compare_edits(table(spark, texts))
+    rows = fingerprints.winnowed(fingerprints.winnowed(rows, "edited", "anew", "characters"), "edited", "in_words", "words").collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        chars = {v & (1 << 63) - 1 for v in r.edited_picked if v < 0}
+        assert chars == set(r.anew) and [v for v in r.edited_picked if v >= 0] == r.in_words
+
+
 # WARC
 
 
