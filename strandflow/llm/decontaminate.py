@@ -21,7 +21,7 @@ from strandflow.llm.common import checkpointed
 
 SHINGLE = 5
 SIMILARITY = 0.8
-BLOCKS, RADIUS = 4, 19
+BLOCKS, RADIUS = 4, 23
 _BITS = 64 // BLOCKS
 #: Item shingles up to which they are sent to all executors (about 40 MB); beyond, the join is shuffled.
 BROADCAST_ROWS = 1_000_000

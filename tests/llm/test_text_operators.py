@@ -3,6 +3,7 @@
 import hashlib
 import html
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -120,6 +121,15 @@ def test_block_tables_reach_the_radius():
     assert decontaminate.RADIUS // decontaminate.BLOCKS * decontaminate.BLOCKS + decontaminate.BLOCKS > decontaminate.RADIUS
 
 
+def test_near_copy_of_21_bits_is_found(spark):
+    r = random.Random(7190)  # a pair of similarity 0.818 whose fingerprints are 21 bits apart
+    item = ["".join(r.choices("abcdefghij", k=r.randint(2, 9))) for _ in range(59)]
+    near = item[:-6] + ["".join(r.choices("abcdefghij", k=2)) for _ in range(6)]
+    bench = spark.createDataFrame([(0, " ".join(item))], "item_id long, text string")
+    (got,) = decontaminate.matches(table(spark, [" ".join(near)]), bench).collect()
+    assert got.similarity >= 0.8 and got.hamming == 21
+
+
 def test_decontaminate_is_native(spark, sf_dir):
     plan = QUERIES["op2_decontaminate"](spark, sf_dir)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan) and "Cartesian" not in plan and "NestedLoop" not in plan
