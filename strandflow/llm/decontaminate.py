@@ -115,6 +115,11 @@ def matches(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose text matches no item, with all their columns."""
-    hit = matches(docs, benchmark, doc_id, text).select(F.col(doc_id).alias("hit_")).distinct()
-    return docs.join(hit, docs[doc_id].eqNullSafe(F.col("hit_")), "left_anti")
+    """The rows of ``docs`` whose text matches no item, with all their columns.
+
+    A row is known by its id and a hash of its text, so a match drops no other row without an id, or with the same one.
+    """
+    keyed = docs.withColumn("key_", F.struct(F.col(doc_id).alias("id"), F.xxhash64(text).alias("h")))
+    hit = matches(keyed, benchmark, "key_", text).select(F.col("key_.id").alias("hit_"), F.col("key_.h").alias("hit_h_")).distinct()
+    rows = docs.withColumn("h_", F.xxhash64(text))
+    return rows.join(hit, rows[doc_id].eqNullSafe(F.col("hit_")) & (F.col("h_") == F.col("hit_h_")), "left_anti").drop("h_")

@@ -58,16 +58,16 @@ def fingerprint(body: bytes, size: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed long of every whole text; a null text has no words."""
-    body = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("binary").alias("body"))
+    """(doc_id, h, fp): a hash and the fingerprint, as signed longs, of every whole text; a null text has no words."""
+    body = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("h"), F.col(text).cast("binary").alias("body"))
 
     def run(batches):
         for batch in batches:
             fps = [_signed(fingerprint(b or b"", size)) for b in batch.column("body").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps, pa.int64())], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("h"), pa.array(fps, pa.int64())], ["doc_id", "h", "fp"])
 
     kind = dict(body.dtypes)["doc_id"]
-    return body.mapInArrow(run, f"doc_id {kind}, fp long")
+    return body.mapInArrow(run, f"doc_id {kind}, h long, fp long")
 
 
 def distances(fp: Column) -> list[Column]:
@@ -99,6 +99,12 @@ def links(nodes: DataFrame) -> DataFrame:
     return pairs.select(F.col("fp").alias("a"), F.col("other").alias("b")).unionAll(hubs.select(F.col("hub").alias("a"), F.col("fp").alias("b")))
 
 
+def _rooted(nodes: DataFrame) -> DataFrame:
+    """``nodes`` with the ``root`` of each fingerprint's component."""
+    found = components(links(nodes), "a", "b")
+    return nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE) -> DataFrame:
     """(doc_id, fp, component_id) for each row: the least doc_id that is reachable over links of at most RADIUS bits.
 
@@ -106,19 +112,26 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     Equal fingerprints are one node, so copies cost nothing but their fingerprint. Repeated rows come out repeated;
     other columns are ignored; an empty table gives no rows; a null doc_id takes part as the largest one.
     """
-    prints = checkpointed(fingerprints(docs, doc_id, text, size))
+    prints = checkpointed(fingerprints(docs, doc_id, text, size).drop("h"))
     nodes = checkpointed(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    found = components(links(nodes), "a", "b")
-    rooted = nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    rooted = _rooted(nodes)
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = rooted.select("fp", "root").join(least, "root").select("fp", "component_id")
     return prints.join(classes, "fp").select(F.col("doc_id").alias(doc_id), "fp", "component_id")
 
 
 def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE) -> DataFrame:
-    """The rows of ``docs``, all columns, that have the least id of their component: one of rows that repeat an id."""
-    found = near_duplicates(docs, doc_id, text, size)
-    first = found.where(F.col(doc_id).eqNullSafe(F.col("component_id"))).select(F.col(doc_id).alias("first_")).distinct()
-    kept = docs.join(first, docs[doc_id].eqNullSafe(F.col("first_")), "left_semi")
-    nth = F.row_number().over(Window.partitionBy(doc_id).orderBy(text))
-    return kept.withColumn("nth_", nth).where("nth_ = 1").drop("nth_")
+    """One row of ``docs``, all columns, of each component: one with the least id, null as the largest.
+
+    A row is known by its id and a hash of its text, so rows without an id, or that share one, stay if their texts lie
+    in different components.
+    """
+    prints = checkpointed(fingerprints(docs, doc_id, text, size))
+    by_id = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")
+    nodes = checkpointed(prints.groupBy("fp").agg(F.min(by_id).alias("least")))
+    first = _rooted(nodes).groupBy("root").agg(F.min("least").alias("least"))
+    first = first.select(F.col("least.doc_id").alias("first_"), F.col("least.h").alias("first_h_"))
+    rows = docs.withColumn("h_", F.xxhash64(text))
+    kept = rows.join(first, rows[doc_id].eqNullSafe(F.col("first_")) & (F.col("h_") == F.col("first_h_")), "left_semi")
+    nth = F.row_number().over(Window.partitionBy(doc_id, "h_").orderBy(text))
+    return kept.withColumn("nth_", nth).where("nth_ = 1").drop("nth_", "h_")

@@ -230,6 +230,12 @@ def test_keep_first_keeps_one_of_each_group_and_of_repeated_rows(spark):
     assert sorted(r.doc_id for r in simhash_dedup.keep_first(df).collect()) == [0, 1, 3]
 
 
+def test_keep_first_tells_rows_without_or_with_one_id_apart(spark):
+    rows = [(None, "a b c d"), (None, "q r s t"), (None, "A b  c d"), (7, "u v w x"), (7, "k l m n"), (9, "k l m n"), (None, "k l m n")]
+    got = simhash_dedup.keep_first(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or 0, r.text.lower().split()[0]) for r in got) == [(0, "a"), (0, "q"), (7, "k"), (7, "u")]
+
+
 def test_components_of_a_long_chain_and_a_hub(spark):
     links = [(i, i + 1) for i in range(60)] + [(1000, 1000 + k) for k in range(1, 200)] + [(5, 5)]
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long"), "a", "b").collect()}

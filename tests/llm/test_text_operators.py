@@ -117,6 +117,14 @@ def test_decontaminate_edges_near_copies_and_ties(spark):
     assert decontaminate.matches(docs.unionAll(docs), bench).count() == len(got)
 
 
+def test_clean_drops_only_the_rows_that_match(spark):
+    item = " ".join(f"w{k}" for k in range(20))
+    bench = spark.createDataFrame([(0, item)], "item_id long, text string")
+    rows = [(None, item), (None, "clean words here"), (3, "x " + item), (3, "other words"), (None, None)]
+    left = decontaminate.clean(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()
+    assert sorted((r.doc_id or 0, r.text or "") for r in left) == [(0, ""), (0, "clean words here"), (3, "other words")]
+
+
 def test_block_tables_reach_the_radius():
     assert decontaminate.RADIUS // decontaminate.BLOCKS * decontaminate.BLOCKS + decontaminate.BLOCKS > decontaminate.RADIUS
 
