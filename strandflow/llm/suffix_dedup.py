@@ -204,13 +204,14 @@ def refine(table: pa.Table, answered: pa.Table | None, rounds: int):
     return group, gone, None
 
 
-def find_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", carry: list[str] | None = None) -> DataFrame:
+def find_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", carry: list[str] | None = None, valid: bool = False) -> DataFrame:
     """One row (doc_id, n_bytes, n_removed, spans, kept) for each row of ``docs``, and ``rest`` with the columns ``carry``.
 
     A byte of a text (UTF-8, null as empty) is removed if a string of LENGTH bytes that covers it also starts at another
     place of any text; strings are judged on the input and never run across documents. ``spans`` holds the maximal
     removed runs, ``kept`` the other bytes. An empty table gives no rows; repeated rows count as documents of their own;
-    other columns are ignored. A cut may split a character, so ``kept`` is binary.
+    other columns are ignored. A cut may split a character, so ``kept`` is binary; with ``valid`` it is without what is
+    left of such characters.
     """
     dealt, total = grouped(docs, doc_id, text, carry)
     n = exchange.buckets(total / 60)
@@ -235,7 +236,8 @@ def find_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ca
             rows["n_bytes"].append(len(body))
             rows["n_removed"].append(int(cut.sum()))
             rows["spans"].append([{"start": int(a), "end": int(b)} for a, b in edge.reshape(-1, 2)])
-            rows["kept"].append(np.frombuffer(body, np.uint8)[~cut].tobytes())
+            kept = np.frombuffer(body, np.uint8)[~cut].tobytes()
+            rows["kept"].append(kept.decode("utf-8", "ignore").encode() if valid and cut.any() else kept)
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         types = {"n_bytes": pa.int64(), "n_removed": pa.int64(), "spans": kind, "kept": pa.binary()}
         out = {"id": pa.array(group.ids, pa.int64())} | {c: pa.array(v, types[c]) for c, v in rows.items()}
@@ -257,6 +259,6 @@ def _with(dealt: DataFrame, answered: DataFrame):
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with the repeated bytes cut from ``text``; a character that a cut splits is dropped, a null text empty."""
     rest = [c for c in docs.columns if c not in (doc_id, text)]
-    found = find_repeats(docs, doc_id, text, rest)
-    left = F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "\ufffd", "")
+    found = find_repeats(docs, doc_id, text, rest, valid=True)
+    left = F.col("kept").cast("string")
     return found.select(*[left.alias(c) if c == text else F.col(c if c == doc_id else f"rest.`{c}`").alias(c) for c in docs.columns])

@@ -224,6 +224,12 @@ def test_references_tell_supports_apart():
     assert len(np.unique(rows, axis=1).T) == 1 << 16
 
 
+def test_replacement_characters_of_the_input_stay(spark):
+    df = table(spark, ["a\ufffdb", "\ufffd" + "é" * 150 + "\ufffd", "c\ufffd" + "x" * 200, "x" * 200])
+    got = {r.doc_id: r.text for r in suffix_dedup.remove_repeats(df).collect()}
+    assert got == {0: "a\ufffdb", 1: "\ufffd\ufffd", 2: "c\ufffd", 3: ""}
+
+
 def test_keep_first_keeps_one_of_each_group_and_of_repeated_rows(spark):
     df = table(spark, ["a b c d", "q r s t", "A b  c d", None, ""])
     df = df.unionAll(df.where("doc_id = 1"))
