@@ -73,7 +73,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text:
     """(doc_id, item_id, start_word, n_words, hamming, similarity): for each document and item the most similar window.
 
     Words are lower-cased runs of letters and digits; shingles have five words, or all words of a shorter item or text.
-    Only similarities of SIMILARITY or more (weight of the common over that of all distinct shingles) are returned; of
+    An item of fewer than SHINGLE words is only found in texts that are the same words, not inside
+    longer texts. Only similarities of SIMILARITY or more (weight of the common over that of all distinct shingles) are returned; of
     equals, the first window. Null, empty and wordless texts and items match nothing; an empty table gives no rows;
     rows that repeat an id are taken as one document (its best window); other columns are ignored.
     """
