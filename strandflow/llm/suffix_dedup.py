@@ -1,4 +1,6 @@
-"""Suffix-array dedup: bytes covered by a long string that also starts elsewhere, by bucket-pointer refinement.
+"""Suffix-array dedup: bytes covered by a long string that also starts elsewhere, by doubled hashes.
+
+This replaces bucket-pointer refinement: no bucket is sorted on the identifiers of later offsets (see README).
 
 Suffixes are put in buckets by their first Q bytes. A bucket of more depth is named by the bucket identifiers at later
 offsets: depth 2Q at p by the identifiers of depth Q at p and p + Q, and so on, each level from the one just made. An
