@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CREDIT = 1.0
+#: Price of a tag whose surroundings are those of main text.
+WITHIN = -0.001
 #: Letters that a known word has at least, if others may begin with it.
 STEM = 5
 
@@ -39,6 +41,8 @@ LABELLED = [
     '<body><menu><li>Cut</li><li>Paste</li></menu><dialog open><p>Join our list today</p></dialog><search><p>Find a word</p></search><div class="copyright">All rights</div>[[<h2>Ink</h2><p>Ink was made from soot and gum, and kept in horns.</p>]]<div class="feedback">Was this of use?</div><div class="skip hidden">Skip to text</div></body>',
     '<body class="home page"><div id="site" class="site list wrapper container layout"><div class="tags list">wind, sea</div>[[<h1>Kites</h1><p>A kite needs wind, string and a field without trees in it.</p><p>On the coast there is always wind, and the fields are wide.</p>]]<div class="footer">Printed here</div></div></body>',
     '<body><div id="site" class="site"><div class="list view">[[<p>Bees find their way home by the sun, and on cloudy days by landmarks that they learned before.</p>]]</div><div class="popup">Stay with us</div></div></body>',
+    '<body><nav><a>Start</a></nav>[[<div><h1>The mills of the north and their keepers</h1></div><div><section><h3>Wind</h3><p>The mill on the dyke still turns, and <a>its sails</a> are new.</p></section><section><h3>Water</h3><div><a><img></a><a><img></a></div><div><div>The old wheel stands in the brook.</div></div></section></div><ul><li><a>Maps of all the paths between them</a></li><li><a>Hours at which the mills are open</a></li></ul>]]<footer>Imprint</footer></body>',
+    '<body><header><a>The Post</a></header>[[<div><div><h2>More ferries for the sound next year</h2></div><section><div><p>Two ferries cross the sound each hour, as <a>the new plan</a> says.</p></div><h4>Fares</h4><div><div><a><img></a></div><div><a><img></a></div></div><div><section><h3>Boats</h3><p>Both boats are white, and both were built here.</p></section></div></section></div>]]<div class="footer">Terms</div></body>',
 ]
 
 _TOKEN = re.compile(
@@ -148,12 +152,12 @@ def extract(page: str, weights: Weights) -> str:
     for kind, value, around in runs(page):
         if around not in known:
             known[around] = weights.sums(around, has)
-        good = known[around] >= 0
+        good, sure = known[around] >= 0, known[around] > 0
         if kind == "text":
             text = entities.unescape(value) if "&" in value else value
             items.append((float(len(text.split())) if good else 0.0, text if good else ""))
         elif kind == "tag":
-            items.append((weights.tag.get(value, -0.1) if good else 0.0, "" if value in _INLINE else " "))
+            items.append((WITHIN if sure else weights.tag.get(value, -0.1) if good else 0.0, "" if value in _INLINE else " "))
         else:
             items.append((0.0, " " if value else ""))
     best, span, total, start = 0.0, (0, 0), 0.0, 0

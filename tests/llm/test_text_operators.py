@@ -392,6 +392,14 @@ def test_html_cases(page, want):
     assert html_text.extract(page, WEIGHTS) == want
 
 
+@pytest.mark.parametrize("page, want", [
+    ("<article><h1>Word</h1><div><div><p>Then some main words follow here.</p></div></div><ul><li><a>Last</a></li></ul></article>", "Word Then some main words follow here. Last"),
+    ("<nav><a>Home</a></nav><article><p>Few words before.</p>" + "<div><a><img></a></div>" * 60 + "<p>And quite a few more words after it.</p></article>", "Few words before. And quite a few more words after it."),
+])
+def test_html_blocks_at_the_edge_and_galleries_stay(page, want):
+    assert html_text.extract(page, WEIGHTS) == want
+
+
 def test_html_edges(spark):
     df = spark.createDataFrame([(1, "u", None, "t"), (2, None, "<p>x</p>" * 20_000, "t"), (None, "u", "<p>q</p>", "t")], "page_id long, url string, html string, text string")
     got = {r.page_id: r for r in html_text.main_text(df).collect()}
