@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandflow.session import checkpointed, shared_folder  # noqa: F401  also for the other modules
@@ -20,6 +20,22 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def quoted(name: str) -> Column:
+    """A top-level column, whatever its name holds."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """``names`` with as many underscores behind them as it takes for ``df`` to have no such column."""
+    have, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in have:
+            name += "_"
+        have.add(name.lower())
+        out.append(name)
+    return out
+
+
 def text_bytes(docs: DataFrame, text: str) -> int:
     """Bytes of all texts: one aggregate over the text column."""
     return docs.agg(F.sum(F.octet_length(text).cast("long")).alias("n")).first()["n"] or 0
