@@ -100,7 +100,9 @@ def windows(docs: DataFrame, items: DataFrame, doc_id: str, text: str) -> DataFr
 
     seq = docs.select(quoted(doc_id).alias("id"), F.xxhash64(quoted(text)).alias("same"), words(text).alias("seq"))
     hashed = seq.select(F.struct("id", "same").alias("doc"), "seq", F.transform("seq", lambda w: F.xxhash64(w)).alias("wh"))
-    met = [hashed.select("doc", "seq", F.posexplode(_runs(r)).alias("at", "h")).join(own.where(F.least("length", F.lit(SHINGLE)) == r), "h") for r in sizes]
+    # The runs are a column of their own: taken apart in generated code, rows that meet nothing never copy their words.
+    # The outer form keeps Spark from inferring a filter on them, which would hash the words anew for every run.
+    met = [hashed.select("doc", "seq", _runs(r).alias("runs")).select("doc", "seq", F.posexplode_outer("runs").alias("at", "h")).join(own.where(F.least("length", F.lit(SHINGLE)) == r), "h") for r in sizes]
     met = reduce(DataFrame.unionAll, met).withColumn("n", F.size("seq"))
     # Windows that begin in one stretch of ``most`` words lie in it and the next: those words go along, and the place
     # goes to every stretch in which a window that holds it may begin.
@@ -125,10 +127,10 @@ def windows(docs: DataFrame, items: DataFrame, doc_id: str, text: str) -> DataFr
     return rows.select(F.col("doc.id").alias("doc"), "start", F.least("length", F.size("near")).alias("length"), body.alias("body"))
 
 
-def _matches(docs: DataFrame, items: DataFrame, doc_id: str, text: str) -> DataFrame:
+def _matches(docs: DataFrame, items: DataFrame, doc_id: str, text: str, small: bool) -> DataFrame:
     """The most similar window of each document and item, for items that are searched for together."""
     cut = windows(docs, items, doc_id, text).withColumn("seq", F.split("body", " ")).withColumn("parts", shingles("seq"))
-    cut = checkpointed(cut.select("doc", "start", F.size("seq").alias("length"), "body", simhash("parts").alias("fp")))
+    cut = checkpointed(cut.select("doc", "start", F.size("seq").alias("length"), "parts", simhash("parts").alias("fp")))
     prints = cut.select("fp").distinct()  # copies of a passage are searched once
     probes = prints.select("fp", F.explode(_blocks("fp")).alias("p")).select("fp", "p.t", "p.v")
 
@@ -140,12 +142,12 @@ def _matches(docs: DataFrame, items: DataFrame, doc_id: str, text: str) -> DataF
     hamming = F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp")))
     found = probes.join(entered.hint("merge"), ["t", "v"])  # thousands of rows an item: not to be broadcast
     found = found.where(hamming <= RADIUS).select("fp", "item", hamming.alias("hamming")).distinct()
-    found = found.join(tables.select(F.col("item").alias("i"), "item_parts"), F.col("item").eqNullSafe(F.col("i"))).drop("i")
     # A passage that a third of all documents hold has one fingerprint: its windows are dealt to SALTS rows of ``found``.
-    salt = F.pmod(F.xxhash64("doc", "start", "body"), F.lit(SALTS)).cast("int")
+    salt = F.pmod(F.xxhash64("doc", "start"), F.lit(SALTS)).cast("int")
     found = found.withColumn("salt", F.explode(F.lit(list(range(SALTS)))))
     pairs = cut.withColumn("salt", salt).join(found.hint("merge"), ["fp", "salt"])
-    pairs = pairs.withColumn("seq", F.split("body", " ")).withColumn("parts", shingles("seq"))
+    theirs = tables.select(F.col("item").alias("i"), "item_parts")
+    pairs = pairs.join(F.broadcast(theirs) if small else theirs, F.col("item").eqNullSafe(F.col("i")))
     both = _weight(F.array_intersect("parts", "item_parts"))
     alike = (both / (_weight(F.col("parts")) + _weight(F.col("item_parts")) - both)).alias("similarity")
     alike = pairs.select("doc", "item", "start", "length", "hamming", alike).where(F.col("similarity") >= SIMILARITY)
@@ -164,9 +166,10 @@ def matches(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text:
     grow with the square of an item's length, so items of many thousand words are best cut into parts.
     """
     items = checkpointed(items_of(benchmark, item_id, item_text))
-    slices = max(1, math.ceil((items.agg(F.sum(F.size("parts"))).first()[0] or 0) / BROADCAST_ROWS))
+    n = items.agg(F.sum(F.size("parts"))).first()[0] or 0
+    slices, small = max(1, math.ceil(n / BROADCAST_ROWS)), n <= BROADCAST_ROWS // 4
     part = F.pmod(F.xxhash64("item"), F.lit(slices))
-    found = reduce(DataFrame.unionAll, (_matches(docs, items.where(part == k) if slices > 1 else items, doc_id, text) for k in range(slices)))
+    found = reduce(DataFrame.unionAll, (_matches(docs, items.where(part == k) if slices > 1 else items, doc_id, text, small) for k in range(slices)))
     return found.withColumnsRenamed({"doc": doc_id, "item": item_id})
 
 
