@@ -1,86 +1,77 @@
 """Document fingerprints by winnowing, in DataFrame operations.
 
-A text has two kinds of units, its words and its characters, and is winnowed in both: every GRAM consecutive units have
-a hash, every WINDOW consecutive hashes give their least one, the rightmost of equals, and the fingerprint is the set of
-those with their positions. So any run of GRAM + WINDOW - 1 words or characters that any two texts share, however their
-lengths differ, puts a common hash into both fingerprints, and the positions say where.
-
-A picked gram is one long: a bit that is 1 for characters, 33 bits of hash, 30 bits of position; while minima are taken
-the position is inverted, so that the least value is the least hash and among equals the rightmost.
+The units of every text are its code points. Every GRAM consecutive units have a hash, every WINDOW consecutive hashes
+give their least one, the rightmost of equals, and the fingerprint is the set of those with their positions. So any run
+of GRAM + WINDOW - 1 characters that two texts share, however their lengths differ, puts a common hash into both
+fingerprints, and the positions say where. Grams of eight characters are long enough that unrelated long texts of a
+language share few of them, and short enough for texts of a few words.
+
+A picked gram is one long: 33 bits of hash, 30 bits of position; while minima are taken the position is inverted, so
+that the least value is the least hash and among equals the rightmost.
 """
 
 from __future__ import annotations
 
 import math
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from strandflow.llm.common import quoted
 
-GRAM, WINDOW = 3, 8
-#: Code points up to which, and code points per word beyond which, words alone say too little of a text.
-SHORT, SPARSE = 256, 16
+#: Powers of two, as hashes and minima are made by doubling.
+GRAM, WINDOW = 8, 8
 _POSITION = (1 << 30) - 1
 #: Units before an edit from which on windows are looked at again: those that begin earlier pick nothing later.
 REACH = GRAM + 2 * WINDOW - 2
 #: Quantiles of doc_id that part the table, and bytes of text that a part holds about.
 QUANTILES, PART_BYTES = 256, 8 << 20
+#: Ids with the least hashes that the quantiles of ids other than whole numbers are taken from.
+SAMPLE = 4096
 _LONG = "array<long>"
+_NO_ID = -(1 << 63)
 
 
-def _words(text: Column) -> Column:
-    return F.filter(F.split(text, r"\s+"), lambda w: w != "")
-
-
-def _chars(text: Column) -> Column:
-    return F.when(F.length(text) > 0, F.split(text, "")).otherwise(F.array().cast("array<string>"))
-
-
-def few_words(text: Column, n_words: Column) -> Column:
-    """Whether a text is short, or has few words for its length (no white space, as in Chinese)."""
-    return (F.length(text) <= SHORT) | (n_words * SPARSE < F.length(text))
-
+def _doubled(df: DataFrame, kept: list[str], column: str, name: str, width: int, join) -> tuple[DataFrame, str]:
+    """``column`` with each value joined to what lies beside it until it stands for ``width``; past the end is null.
 
-def winnowed(df: DataFrame, text: str, out: str, kind: str | None = None) -> DataFrame:
-    """``df`` with ``out``: the picked grams of column ``text`` (no null), as longs, each once, in order of position.
-
-    ``kind`` is "words" or "characters"; without it the units are characters where words alone say too little. The bit
-    of the kind isn't set here. Each step is a projection of its own whose input is used more than once, so that Spark
-    doesn't compute it again for every use.
+    Each step is a projection of its own whose input is used more than once, so that Spark doesn't compute it again for
+    every use.
     """
-    words, units, hashes, grams = (f"{out}_{x}" for x in ("words", "units", "hashes", "grams"))
-    kept = df.columns
-    if kind is None:
-        df = df.select(*kept, _words(F.col(text)).alias(words))
-        df = df.select(*kept, F.when(few_words(F.col(text), F.size(words)), _chars(F.col(text))).otherwise(F.col(words)).alias(units))
-    else:
-        df = df.select(*kept, (_words if kind == "words" else _chars)(F.col(text)).alias(units))
+    have = 1
+    while have < width:
+        rest = F.slice(column, have + 1, F.greatest(F.size(column) - have, F.lit(0)))
+        wider = f"{name}{2 * have}"
+        df = df.select(*kept, F.zip_with(column, rest, join).alias(wider))
+        column, have = wider, 2 * have
+    return df, column
+
+
+def winnowed(df: DataFrame, text: str, out: str) -> DataFrame:
+    """``df`` with ``out``: the picked grams of column ``text`` (no null), as longs, each once, in order of position."""
+    kept, hashes, count, grams = df.columns, f"{out}_hashes", f"{out}_n", f"{out}_grams"
+    units = F.when(F.length(text) > 0, F.split(text, "")).otherwise(F.array().cast("array<string>"))
     df = df.select(*kept, F.transform(units, lambda u: F.xxhash64(u)).alias(hashes))
-    size = F.size(hashes)
+    df = df.select(*kept, hashes, F.size(hashes).alias(count), F.xxhash64(hashes).alias(f"{out}_whole"))
+    also = [*kept, count, f"{out}_whole"]
+    df, rolled = _doubled(df, also, hashes, f"{out}_gram", GRAM, lambda a, b: F.xxhash64(a, b))
     packed = lambda h, i: F.shiftleft(F.shiftrightunsigned(h, 31), 30).bitwiseOR((F.lit(_POSITION) - i).cast("long"))
-    each = F.transform(F.sequence(F.lit(0), size - GRAM), lambda i: packed(F.xxhash64(*[F.get(F.col(hashes), i + k) for k in range(GRAM)]), i))
-    none = F.array().cast(_LONG)
-    df = df.select(*kept, F.when(size == 0, none).when(size < GRAM, F.array(packed(F.xxhash64(hashes), F.lit(0)))).otherwise(each).alias(grams))
-    least, width, count = grams, 1, f"{out}_n"
+    each = F.transform(F.slice(rolled, 1, F.greatest(F.col(count) - GRAM + 1, F.lit(0))), packed)
+    short = F.array(packed(F.col(f"{out}_whole"), F.lit(0)))
+    df = df.select(*kept, F.when(F.col(count) == 0, F.array().cast(_LONG)).when(F.col(count) < GRAM, short).otherwise(each).alias(grams))
     df = df.select(*kept, grams, F.size(grams).alias(count))
-    while width < WINDOW:  # the least of twice as many, from two that lie side by side; past the end there is none
-        rest = F.slice(F.col(least), width + 1, F.greatest(F.size(least) - width, F.lit(0)))
-        wider = f"{out}_least{2 * width}"
-        df = df.select(*kept, count, F.zip_with(F.col(least), rest, lambda a, b: F.least(a, b)).alias(wider))
-        least, width = wider, 2 * width
-    picked = F.array_distinct(F.slice(F.col(least), 1, F.greatest(F.col(count) - WINDOW + 1, F.lit(1))))
+    df, least = _doubled(df, [*kept, count], grams, f"{out}_least", WINDOW, lambda a, b: F.least(a, b))
+    picked = F.array_distinct(F.slice(least, 1, F.greatest(F.col(count) - WINDOW + 1, F.lit(1))))
     return df.select(*kept, picked.alias(out))
 
 
 def as_text(picked: str) -> Column:
-    """The picked grams as 16 hex digits each: the bit of the kind, 33 bits of hash, 30 bits of position."""
+    """The picked grams as 16 hex digits each: 34 bits of hash (the first is 0), 30 bits of position."""
     return F.array_join(F.transform(picked, lambda v: F.lower(F.lpad(F.hex(v.bitwiseXOR(F.lit(_POSITION))), 16, "0"))), " ")
 
 
-def characters(picked: Column) -> Column:
-    """Grams of characters, with the bit that tells them from grams of words."""
-    return F.transform(picked, lambda v: v.bitwiseOR(F.lit(-(1 << 63))))
-
-
 def hash_set(picked: str) -> Column:
     return F.array_distinct(F.transform(picked, lambda v: F.shiftright(v, 30)))
 
@@ -92,36 +83,58 @@ def likeness(a: str, b: str) -> Column:
     return F.when(every == 0, F.lit(1.0)).otherwise(common / every)
 
 
+def _between(col: Column, edges: list, before: int = 0) -> Column:
+    """``before`` plus the number of ``edges`` that are no larger, by halving; 0 for a null."""
+    if not edges:
+        return F.lit(before)
+    half = len(edges) // 2
+    return F.when(col >= F.lit(edges[half]), _between(col, edges[half + 1 :], before + half + 1)).otherwise(_between(col, edges[:half], before))
+
+
 def in_parts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(id, text, part) where the ids of a part are all below those of larger parts; a part has about PART_BYTES.
+    """(id, text, h, part) where the rows of a part come before those of larger parts by id, hash of the text and text.
 
-    The parts are ranges between approximate quantiles of the ids (upper 32 bits), each divided evenly again for large
-    tables (lower 32), so the driver sees QUANTILES numbers whatever the size.
+    The parts are ranges between approximate quantiles of the ids (upper 32 bits), each divided again (lower 32): an id
+    that several quantiles fall on (a third of all rows without an id, say) by the hash h of its texts, the other ids
+    evenly for large tables. The driver sees QUANTILES numbers whatever the size. Ids that aren't whole numbers are
+    parted between quantiles of a sample, without a further division.
     """
-    rows = docs.select(F.coalesce(F.col(doc_id), F.lit(-(1 << 63))).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    body = F.coalesce(quoted(text), F.lit(""))
+    rows = docs.select(quoted(doc_id).alias("id"), body.alias("text"), F.xxhash64(body).alias("h"))
+    if not isinstance(docs.schema[doc_id].dataType, T.IntegralType):
+        drawn = rows.select("id").where(F.col("id").isNotNull()).orderBy(F.xxhash64("id")).limit(SAMPLE).collect()
+        ids = sorted({r.id for r in drawn})
+        return rows.withColumn("part", F.shiftleft(_between(F.col("id"), ids[:: max(1, len(ids) // QUANTILES)][1:]).cast("long"), 32))
+    number = F.coalesce(F.col("id").cast("long"), F.lit(_NO_ID))
     asked = [k / QUANTILES for k in range(1, QUANTILES)]
-    seen = docs.agg(F.sum(F.octet_length(text).cast("long")).alias("bytes"), F.percentile_approx(F.col(doc_id).cast("long"), asked, 10_000).alias("q")).first()
-    edges = sorted(set(seen["q"] or []))
+    seen = rows.agg(F.sum(F.octet_length("text").cast("long")).alias("bytes"), F.percentile_approx(number, asked, 10_000).alias("q")).first()
+    often = Counter(seen["q"] or [])
+    edges = sorted(often)
     bounds = F.lit(edges) if edges else F.array().cast(_LONG)
-    q = F.size(F.filter(bounds, lambda e: e <= F.col("id")))
+    q = F.size(F.filter(bounds, lambda e: e <= number))
     even = max(1, math.ceil((seen["bytes"] or 0) / PART_BYTES / (len(edges) + 1)))
     low, high = F.get(bounds, q - 1).cast("double"), F.get(bounds, q).cast("double")
-    inner = F.least(F.lit(even - 1), F.floor((F.col("id") - low) / (high - low) * even))
+    inner = F.least(F.lit(even - 1), F.floor((number.cast("double") - low) / (high - low) * even))
     inner = F.coalesce(F.greatest(F.lit(0), inner), F.lit(0)) if even > 1 and len(edges) > 1 else F.lit(0)
+    hot = {e: even * (n + 1) for e, n in often.items() if n > 1}
+    if hot:
+        cuts = F.coalesce(F.get(F.lit([hot.get(e, 0) for e in edges]), q - 1), F.lit(0))
+        share = F.shiftrightunsigned("h", 33).cast("double") / float(1 << 31)
+        inner = F.when((cuts > 0) & (number == F.get(bounds, q - 1)), F.floor(share * cuts)).otherwise(cuts + inner)
     return rows.withColumn("part", F.shiftleft(q.cast("long"), 32) + inner)
 
 
 def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, text, picked, own, next_text, next_own) where next is the row of the next id, after the last the first.
 
-    ``picked`` are the picked grams of the text's words, ``own`` is the set of their hashes. Texts are shuffled once; the first
-    row of each part goes to the part before it. Rows of equal ids follow one another by text.
+    ``picked`` are the picked grams of the text, ``own`` is the set of their hashes. Texts are shuffled once; the first
+    row of each part goes to the part before it. Rows of equal ids follow one another by a hash of the text, and the text.
     """
     rows = in_parts(docs, doc_id, text)
     dealt = rows.repartition("part")
-    order = Window.partitionBy("part").orderBy("id", "text")
+    order = Window.partitionBy("part").orderBy("id", F.shiftrightunsigned("h", 33), "text")
     first = dealt.withColumn("nth", F.row_number().over(order)).where("nth = 1").select("part", "text")
-    first = winnowed(first, "text", "picked", "words").select("part", F.col("text").alias("first_text"), hash_set("picked").alias("first_own"))
+    first = winnowed(first, "text", "picked").select("part", F.col("text").alias("first_text"), hash_set("picked").alias("first_own"))
 
     parts = rows.select("part").distinct().withColumn("q", F.shiftright("part", 32))
     of_q = parts.groupBy("q").agg(F.max("part").alias("most"))
@@ -131,7 +144,7 @@ def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     steps = steps.join(F.broadcast(of_q), F.col("q") == F.col("of")).select("part", F.coalesce("inside", "before").alias("to"))
     ahead = first.join(steps, "part").select(F.col("to").alias("part"), "first_text", "first_own")
 
-    own = winnowed(dealt, "text", "picked", "words").withColumn("own", hash_set("picked"))
+    own = winnowed(dealt, "text", "picked").withColumn("own", hash_set("picked"))
     nexts = own.withColumn("lead_text", F.lead("text").over(order)).withColumn("lead_own", F.lead("own").over(order))
     joined = nexts.join(ahead, "part")
     return joined.select("id", "text", "picked", "own", F.coalesce("lead_text", "first_text").alias("next_text"), F.coalesce("lead_own", "first_own").alias("next_own"))
@@ -141,46 +154,27 @@ def compare_edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     """(doc_id, n_chars, edited, picked, edited_picked, near_edited, near_next) for each row of ``docs``.
 
     The edited text has its last floor(n_chars / 4) code points replaced by the first as many, or all, of the next
-    document's. Fingerprints hold the grams of words, then those of characters. Two texts are compared by both, unless
-    words say enough of each: then by words, as all long texts of a language have most grams of characters in common.
-    A null text is empty; an empty text has no grams, and two empty fingerprints are alike. A single document is its
-    own next. Equal texts have equal fingerprints; an empty table gives no rows; a null doc_id comes first; repeated
-    rows come out repeated; other columns are ignored.
+    document's. Likeness is the share of hashes that two fingerprints have in common. A null text is empty; an empty
+    text has no grams, a text of fewer than GRAM characters one of all of them, and two empty fingerprints are alike. A
+    single document is its own next. Equal texts have equal fingerprints; an empty table gives no rows; a null doc_id
+    comes first; ids of any type that can be sorted will do; repeated rows come out repeated; other columns are ignored.
     """
     rows = with_next(docs, doc_id, text).withColumn("n_chars", F.length("text").cast("long"))
     cut = F.floor(F.col("n_chars") / 4).cast("int")
     rows = rows.withColumn("stay", F.col("n_chars").cast("int") - cut)
     edited = F.concat(F.substring("text", F.lit(1), F.col("stay")), F.substring("next_text", F.lit(1), cut))
-    rows = rows.select("id", "n_chars", "stay", "text", "next_text", "picked", "own", "next_own", edited.alias("edited"))
-    rows = winnowed(rows, "edited", "edited_picked", "words").withColumn("edited_own", hash_set("edited_picked"))
-    few = {t: few_words(F.col(t), F.size(_words(F.col(t)))) for t in ("text", "edited", "next_text")}
-    rows = rows.withColumns({f"few_{t}": c for t, c in few.items()})
-    rows = rows.withColumns({"by_edited": F.col("few_text") | F.col("few_edited"), "by_next": F.col("few_text") | F.col("few_next_text")})
-    rows = rows.withColumn("beside", F.when(F.col("by_next"), F.col("next_text")).otherwise(F.lit("")))
-    rows = rows.drop("next_text", "few_text", "few_edited", "few_next_text")
-
-    rows = winnowed(rows, "text", "in_chars", "characters").drop("text")
-    # Windows of characters before the edit pick what they did: only from REACH before it on is picked again.
+    rows = rows.select("id", "n_chars", "stay", "picked", "own", "next_own", edited.alias("edited"))
+
+    # Windows before the edit pick what they did: only from REACH before it on is picked again.
     rows = rows.withColumn("again", F.greatest(F.lit(0), F.col("stay") - REACH))
     rows = rows.withColumn("tail", F.substring(F.col("edited"), F.col("again") + 1, F.length("edited")))
-    rows = winnowed(rows, "tail", "tail_chars", "characters").drop("tail")
+    rows = winnowed(rows, "tail", "tail_picked").drop("tail")
     place = lambda v: F.lit(_POSITION) - v.bitwiseAND(F.lit(_POSITION))
-    before = F.filter("in_chars", lambda v: place(v) <= F.col("stay") - (GRAM + WINDOW - 1))
-    after = F.transform("tail_chars", lambda v: v - F.col("again"))
-    edited_chars = F.when(F.col("again") > 0, F.array_distinct(F.concat(before, after))).otherwise(F.col("tail_chars"))
-    rows = rows.withColumns({"edited_chars": characters(edited_chars), "in_chars": characters(F.col("in_chars"))}).drop("tail_chars")
-    rows = winnowed(rows, "beside", "next_chars", "characters").withColumn("next_chars", characters(F.col("next_chars")))
-
-    def both(by: str, own: str, chars: str) -> Column:
-        return F.when(F.col(by), F.concat(own, hash_set(chars))).otherwise(F.col(own))
-
-    rows = rows.withColumns({
-        "edited_a": both("by_edited", "own", "in_chars"), "edited_b": both("by_edited", "edited_own", "edited_chars"),
-        "next_a": both("by_next", "own", "in_chars"), "next_b": both("by_next", "next_own", "next_chars"),
-    })
-    null_id = F.when(F.col("id") != -(1 << 63), F.col("id"))
+    before = F.filter("picked", lambda v: place(v) <= F.col("stay") - (GRAM + WINDOW - 1))
+    after = F.transform("tail_picked", lambda v: v - F.col("again"))
+    anew = F.when(F.col("again") > 0, F.array_distinct(F.concat(before, after))).otherwise(F.col("tail_picked"))
+    rows = rows.withColumn("edited_picked", anew).withColumn("edited_own", hash_set("edited_picked"))
     return rows.select(
-        null_id.alias(doc_id), "n_chars", "edited", F.concat("picked", "in_chars").alias("picked"),
-        F.concat("edited_picked", "edited_chars").alias("edited_picked"),
-        likeness("edited_a", "edited_b").alias("near_edited"), likeness("next_a", "next_b").alias("near_next"),
+        F.col("id").alias(doc_id), "n_chars", "edited", "picked", "edited_picked",
+        likeness("own", "edited_own").alias("near_edited"), likeness("own", "next_own").alias("near_next"),
     )

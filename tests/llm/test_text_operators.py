@@ -11,6 +11,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import regex
+import xxhash
 from pyspark.sql import functions as F
 
 from strandflow.llm import decontaminate, fingerprints, html_text, language_id, licenses, mixing, warc
@@ -297,39 +298,74 @@ def naive_winnowing(text, gram_hash):
     return sorted(out)
 
 
+def signed(x):
+    return x - (1 << 64) if x >> 63 else x
+
+
+def spark_hash(*values):
+    """xxhash64 of strings or longs as Spark has it: each value's hash is the seed of the next."""
+    seed = 42
+    for v in values:
+        body = v.encode() if isinstance(v, str) else (v & (1 << 64) - 1).to_bytes(8, "little")
+        seed = xxhash.xxh64_intdigest(body, seed)
+    return signed(seed)
+
+
+def naive_grams(text):
+    hashes = [spark_hash(c) for c in text]
+    if 0 < len(hashes) < fingerprints.GRAM:
+        seed = 42
+        for h in hashes:
+            seed = xxhash.xxh64_intdigest((h & (1 << 64) - 1).to_bytes(8, "little"), seed)
+        return [seed >> 31]
+    out = []
+    for i in range(len(hashes) - fingerprints.GRAM + 1):
+        part = hashes[i : i + fingerprints.GRAM]
+        while len(part) > 1:  # as doubling joins them: neighbours, then pairs of those
+            part = [spark_hash(part[k], part[k + 1]) for k in range(0, len(part), 2)]
+        out.append((part[0] & (1 << 64) - 1) >> 31)
+    return out
+
+
+def naive_print(text):
+    """{(hash, position)} of a text by plain loops."""
+    grams = naive_grams(text)
+    return {(grams[p], p) for p in naive_winnowing(text, grams)}
+
+
+def naive_likeness(a, b):
+    a, b = {h for h, _ in a}, {h for h, _ in b}
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def taken_apart(fingerprint):
+    return {(int(g, 16) >> 30, int(g, 16) & fingerprints._POSITION) for g in fingerprint.split()}
+
+
 def test_winnowing_picks_the_rightmost_least_of_each_window(spark):
-    texts = ["", "a", "a b", "ab" * 40, "la " * 200, " ".join(f"w{k * k % 37}" for k in range(300)), "漢字" * 400, "one two\n\tthree " * 60]
+    texts = ["", "a", "a b", "1234567", "12345678", "ab" * 40, "la " * 200, " ".join(f"w{k * k % 37}" for k in range(300)), "漢字" * 400, "one two\n\tthree " * 60, "😀é" * 9]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, text string")
-    out = fingerprints.winnowed(df, "text", "p").collect()
-    for r in out:
-        text = texts[r.i]
-        seq = text.split()
-        units = list(text) if len(text) <= 256 or len(seq) * 16 < len(text) else seq
-        n = len(units)
-        if n < fingerprints.GRAM:
-            assert len(r.p) == (n > 0)
-            continue
-        rows = [(units[k : k + 3],) for k in range(n - 2)]
-        cols = [F.xxhash64(F.get("u", F.lit(k))) for k in range(3)]
-        hashed = spark.createDataFrame([(k, u[0]) for k, u in enumerate(rows)], "k int, u array<string>").select("k", F.shiftrightunsigned(F.xxhash64(*cols), 31).alias("h"))
-        grams = [x.h for x in hashed.orderBy("k").collect()]
-        assert [fingerprints._POSITION - (v & fingerprints._POSITION) for v in sorted(r.p, key=lambda v: -(v & fingerprints._POSITION))] == naive_winnowing(text, grams)
-
-
-def test_fingerprint_query(spark):
-    sf = "/root/testdata/sf0.01"
-    docs = spark.read.parquet(f"{sf}/documents.parquet").orderBy("doc_id").collect()
-    got = {r.doc_id: r for r in QUERIES["op7_winnowing"](spark, sf).collect()}
-    prints = {}
+    for r in fingerprints.winnowed(df, "text", "p").select("i", fingerprints.as_text("p").alias("f")).collect():
+        assert taken_apart(r.f) == naive_print(texts[r.i]), r.i
+
+
+def test_fingerprint_query_equals_brute_force(spark, sf_dir):
+    """Each row's fingerprints and likenesses against plain loops, and what they tell apart on a larger table."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").orderBy("doc_id").collect()
+    got = {r.doc_id: r for r in QUERIES["op7_winnowing"](spark, sf_dir).collect()}
+    prints = {d.text: naive_print(d.text) for d in docs}
     for k, d in enumerate(docs):
         after = docs[(k + 1) % len(docs)].text
         cut = len(d.text) // 4
+        edited = d.text[: len(d.text) - cut] + after[:cut]
         r = got[d.doc_id]
-        assert (r.n_chars, r.edited_sha256) == (len(d.text), hashlib.sha256((d.text[: len(d.text) - cut] + after[:cut]).encode()).hexdigest())
-        prints.setdefault(d.text, set()).add(r.fingerprint)
-    assert all(len(p) == 1 for p in prints.values())
-    long = [r for r in got.values() if r.n_chars > 100]
-    assert np.mean([r.near_edited for r in long]) > 0.5 and np.mean([r.near_next for r in long]) < 0.05
+        assert (r.n_chars, r.edited_sha256) == (len(d.text), hashlib.sha256(edited.encode()).hexdigest())
+        assert taken_apart(r.fingerprint) == prints[d.text] and taken_apart(r.edited_fingerprint) == naive_print(edited)
+        assert math.isclose(r.near_edited, naive_likeness(prints[d.text], naive_print(edited)))
+        assert math.isclose(r.near_next, naive_likeness(prints[d.text], prints[after]))
+    rows = QUERIES["op7_winnowing"](spark, "/root/testdata/sf0.01").collect()
+    assert sum(r.near_edited > r.near_next for r in rows) / len(rows) > 0.99
+    assert np.mean([r.near_edited for r in rows]) > 0.55 and max(r.near_next for r in rows) < 0.1 and np.mean([r.near_next for r in rows]) < 0.005
 
 
 def test_fingerprint_edges(spark):
@@ -353,36 +389,43 @@ def test_fingerprints_are_native(spark, sf_dir):
     assert not re.search("Python|Pandas|Arrow", plan)
 
 
-def _hashes(fingerprint):
-    return {int(g, 16) >> 30 for g in fingerprint}
-
-
 def test_fingerprints_meet_across_text_sizes(spark):
     prose = [f"w{k * k % 9973}" for k in range(400)]
-    brief, tiny, near = " ".join(prose[100:130]), "Zebra-Quartz 47", " ".join(prose[:60])
+    brief, tiny, near = " ".join(prose[100:130]), "Zebra-Quartz 47!!", " ".join(prose[:60])
     han = "".join(chr(0x4E00 + k * k % 5003) for k in range(60))
-    texts = [" ".join(prose), brief, tiny, " ".join(prose[200:300]) + " " + tiny + " " + han + " " + " ".join(prose[300:]), han * 8, near[:250], near[:260], " ".join(prose)[1000:1300], "x"]
-    assert len(brief) < 256 and len(texts[7]) == 300
+    whole = " ".join(prose)
+    texts = [whole, brief, tiny, " ".join(prose[200:300]) + " " + tiny + " " + han + " " + " ".join(prose[300:]), han * 8, near[:250], near[:260], whole[1000:1305], whole[1000:1229], whole[:240], whole, "x"]
     got = {r.doc_id: r for r in fingerprints.compare_edits(table(spark, texts)).collect()}
-    prints = {i: _hashes(fingerprints_of(r.picked)) for i, r in got.items()}
     for a, b in ((0, 1), (2, 3), (3, 4), (5, 6), (0, 7)):
-        assert prints[a] & prints[b], (a, b)
-    assert got[5].near_next > 0.8 and got[7].near_edited > 0.5 and len(got[7].edited) < 256
-
-
-def fingerprints_of(picked):
-    return [f"{(v ^ fingerprints._POSITION) & (1 << 64) - 1:016x}" for v in picked]
+        assert {h for h, _ in naive_print(texts[a])} & {h for h, _ in naive_print(texts[b])}, (a, b)
+    assert got[5].near_next > 0.8 and got[7].near_edited > 0.5 and got[7].near_next > 0.6
+    for k in (7, 9):
+        want = naive_likeness(naive_print(texts[k]), naive_print(texts[k + 1]))
+        assert want > 0 and math.isclose(got[k].near_next, want)
 
 
-def test_characters_of_the_edited_text_are_as_if_picked_anew(spark):
+def test_fingerprints_of_the_edited_text_are_as_if_picked_anew(spark):
     prose = " ".join(f"w{k * k % 997}" for k in range(300))
-    texts = [prose[k : k + n] for k, n in enumerate((0, 1, 2, 5, 9, 10, 11, 13, 17, 20, 21, 22, 23, 24, 25, 26, 27, 40, 100, 300, 900))] + ["aaaa" * 30, "漢字😀" * 20, "é"]
-    rows = fingerprints.compare_edits(table(spark, texts))
-    rows = fingerprints.winnowed(fingerprints.winnowed(rows, "edited", "anew", "characters"), "edited", "in_words", "words").collect()
-    assert len(rows) == len(texts)
-    for r in rows:
-        chars = {v & (1 << 63) - 1 for v in r.edited_picked if v < 0}
-        assert chars == set(r.anew) and [v for v in r.edited_picked if v >= 0] == r.in_words
+    texts = [prose[k : k + n] for k, n in enumerate((0, 1, 2, 5, 9, 10, 11, 13, 17, 20, 21, 22, 23, 24, 25, 26, 27, 28, 29, 30, 31, 32, 33, 40, 100, 300, 900))] + ["aaaa" * 30, "漢字😀" * 20, "é"]
+    rows = fingerprints.winnowed(fingerprints.compare_edits(table(spark, texts)), "edited", "anew").collect()
+    assert len(rows) == len(texts) and all(set(r.edited_picked) == set(r.anew) for r in rows)
+
+
+def test_fingerprints_of_hot_ids_and_of_other_types(spark, monkeypatch):
+    monkeypatch.setattr(fingerprints, "QUANTILES", 16)
+    texts = [f"text number {k * 7919 % 101} of many" for k in range(60)]
+    rows = [(None if k % 3 == 0 else 7 if k % 3 == 1 else k, t) for k, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    parts = fingerprints.in_parts(df, "doc_id", "text").groupBy("part").count().collect()
+    assert len(parts) > 8 and max(r["count"] for r in parts) < 20
+    key = lambda r: (r[0] is not None, r[0], (spark_hash(r[1]) & (1 << 64) - 1) >> 33, r[1])
+    ranked = sorted(rows, key=lambda r: tuple(0 if x is None else x for x in key(r)))
+    cut = lambda a, b: a[: len(a) - len(a) // 4] + b[: len(a) // 4]
+    want = sorted((i or -1, cut(t, ranked[(k + 1) % 60][1])) for k, (i, t) in enumerate(ranked))
+    assert sorted((r.doc_id or -1, r.edited) for r in fingerprints.compare_edits(df).collect()) == want
+    named = spark.createDataFrame([(f"id-{k:03d}", t) for k, t in enumerate(texts)], "`doc.id` string, text string")
+    got = {r[0]: r.edited for r in fingerprints.compare_edits(named, "doc.id").collect()}
+    assert got == {f"id-{k:03d}": cut(t, texts[(k + 1) % 60]) for k, t in enumerate(texts)}
 
 
 # WARC
