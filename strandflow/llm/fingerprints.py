@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from strandflow.llm.common import quoted
 
-#: Powers of two, as hashes and minima are made by doubling.
+#: The window is a power of two, as minima are made by doubling.
 GRAM, WINDOW = 8, 8
 _POSITION = (1 << 30) - 1
 #: Units before an edit from which on windows are looked at again: those that begin earlier pick nothing later.
@@ -34,42 +34,32 @@ _LONG = "array<long>"
 _NO_ID = -(1 << 63)
 
 
-def _doubled(df: DataFrame, kept: list[str], column: str, name: str, width: int, join) -> tuple[DataFrame, str]:
-    """``column`` with each value joined to what lies beside it until it stands for ``width``; past the end is null.
+def winnowed(df: DataFrame, text: str, out: str) -> DataFrame:
+    """``df`` with ``out``: the picked grams of column ``text`` (no null), as longs, each once, in order of position.
 
     Each step is a projection of its own whose input is used more than once, so that Spark doesn't compute it again for
     every use.
     """
-    have = 1
-    while have < width:
-        rest = F.slice(column, have + 1, F.greatest(F.size(column) - have, F.lit(0)))
-        wider = f"{name}{2 * have}"
-        df = df.select(*kept, F.zip_with(column, rest, join).alias(wider))
-        column, have = wider, 2 * have
-    return df, column
-
-
-def winnowed(df: DataFrame, text: str, out: str) -> DataFrame:
-    """``df`` with ``out``: the picked grams of column ``text`` (no null), as longs, each once, in order of position."""
-    kept, hashes, count, grams = df.columns, f"{out}_hashes", f"{out}_n", f"{out}_grams"
-    units = F.when(F.length(text) > 0, F.split(text, "")).otherwise(F.array().cast("array<string>"))
-    df = df.select(*kept, F.transform(units, lambda u: F.xxhash64(u)).alias(hashes))
-    df = df.select(*kept, hashes, F.size(hashes).alias(count), F.xxhash64(hashes).alias(f"{out}_whole"))
-    also = [*kept, count, f"{out}_whole"]
-    df, rolled = _doubled(df, also, hashes, f"{out}_gram", GRAM, lambda a, b: F.xxhash64(a, b))
-    packed = lambda h, i: F.shiftleft(F.shiftrightunsigned(h, 31), 30).bitwiseOR((F.lit(_POSITION) - i).cast("long"))
-    each = F.transform(F.slice(rolled, 1, F.greatest(F.col(count) - GRAM + 1, F.lit(0))), packed)
-    short = F.array(packed(F.col(f"{out}_whole"), F.lit(0)))
-    df = df.select(*kept, F.when(F.col(count) == 0, F.array().cast(_LONG)).when(F.col(count) < GRAM, short).otherwise(each).alias(grams))
+    kept, found, count, grams = df.columns, f"{out}_found", f"{out}_n", f"{out}_grams"
+    # a look ahead at GRAM code points from every code point
+    df = df.select(*kept, F.regexp_extract_all(F.col(text), F.lit(f"(?s)(?=(.{{{GRAM}}})).")).alias(found))
+    packed = lambda g, i: F.shiftleft(F.shiftrightunsigned(F.xxhash64(g), 31), 30).bitwiseOR((F.lit(_POSITION) - i).cast("long"))
+    short = F.when(F.length(text) > 0, F.array(packed(F.col(text), F.lit(0)))).otherwise(F.array().cast(_LONG))
+    df = df.select(*kept, F.when(F.size(found) == 0, short).otherwise(F.transform(found, packed)).alias(grams))
     df = df.select(*kept, grams, F.size(grams).alias(count))
-    df, least = _doubled(df, [*kept, count], grams, f"{out}_least", WINDOW, lambda a, b: F.least(a, b))
+    least, width = grams, 1
+    while width < WINDOW:  # the least of twice as many, from two that lie side by side; past the end there is none
+        rest = F.slice(F.col(least), width + 1, F.greatest(F.size(least) - width, F.lit(0)))
+        wider = f"{out}_least{2 * width}"
+        df = df.select(*kept, count, F.zip_with(F.col(least), rest, lambda a, b: F.least(a, b)).alias(wider))
+        least, width = wider, 2 * width
     picked = F.array_distinct(F.slice(least, 1, F.greatest(F.col(count) - WINDOW + 1, F.lit(1))))
     return df.select(*kept, picked.alias(out))
 
 
 def as_text(picked: str) -> Column:
-    """The picked grams as 16 hex digits each: 34 bits of hash (the first is 0), 30 bits of position."""
-    return F.array_join(F.transform(picked, lambda v: F.lower(F.lpad(F.hex(v.bitwiseXOR(F.lit(_POSITION))), 16, "0"))), " ")
+    """The picked grams as 16 hex digits each: a bit that is 1, 33 bits of hash, 30 bits of position."""
+    return F.lower(F.array_join(F.transform(picked, lambda v: F.hex(v.bitwiseXOR(F.lit(_POSITION)).bitwiseOR(F.lit(-(1 << 63))))), " "))
 
 
 def hash_set(picked: str) -> Column:

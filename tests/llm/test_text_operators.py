@@ -302,29 +302,14 @@ def signed(x):
     return x - (1 << 64) if x >> 63 else x
 
 
-def spark_hash(*values):
-    """xxhash64 of strings or longs as Spark has it: each value's hash is the seed of the next."""
-    seed = 42
-    for v in values:
-        body = v.encode() if isinstance(v, str) else (v & (1 << 64) - 1).to_bytes(8, "little")
-        seed = xxhash.xxh64_intdigest(body, seed)
-    return signed(seed)
+def spark_hash(text):
+    """xxhash64 of a string as Spark has it."""
+    return signed(xxhash.xxh64_intdigest(text.encode(), 42))
 
 
 def naive_grams(text):
-    hashes = [spark_hash(c) for c in text]
-    if 0 < len(hashes) < fingerprints.GRAM:
-        seed = 42
-        for h in hashes:
-            seed = xxhash.xxh64_intdigest((h & (1 << 64) - 1).to_bytes(8, "little"), seed)
-        return [seed >> 31]
-    out = []
-    for i in range(len(hashes) - fingerprints.GRAM + 1):
-        part = hashes[i : i + fingerprints.GRAM]
-        while len(part) > 1:  # as doubling joins them: neighbours, then pairs of those
-            part = [spark_hash(part[k], part[k + 1]) for k in range(0, len(part), 2)]
-        out.append((part[0] & (1 << 64) - 1) >> 31)
-    return out
+    n = fingerprints.GRAM
+    return [(spark_hash(text[i : i + n]) & (1 << 64) - 1) >> 31 for i in range(max(1, len(text) - n + 1) if text else 0)]
 
 
 def naive_print(text):
@@ -339,7 +324,7 @@ def naive_likeness(a, b):
 
 
 def taken_apart(fingerprint):
-    return {(int(g, 16) >> 30, int(g, 16) & fingerprints._POSITION) for g in fingerprint.split()}
+    return {(int(g, 16) >> 30 & (1 << 33) - 1, int(g, 16) & fingerprints._POSITION) for g in fingerprint.split()}
 
 
 def test_winnowing_picks_the_rightmost_least_of_each_window(spark):
