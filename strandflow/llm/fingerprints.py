@@ -66,11 +66,10 @@ def hash_set(picked: str) -> Column:
     return F.array_distinct(F.transform(picked, lambda v: F.shiftright(v, 30)))
 
 
-def likeness(a: str, b: str) -> Column:
+def likeness(a: str, b: str, common: str) -> Column:
     """Common over all hashes of two hash sets; 1 if neither has any."""
-    common = F.size(F.array_intersect(a, b))
-    every = F.size(a) + F.size(b) - common
-    return F.when(every == 0, F.lit(1.0)).otherwise(common / every)
+    every = F.size(a) + F.size(b) - F.col(common)
+    return F.when(every == 0, F.lit(1.0)).otherwise(F.col(common) / every)
 
 
 def _between(col: Column, edges: list, before: int = 0) -> Column:
@@ -164,7 +163,8 @@ def compare_edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     after = F.transform("tail_picked", lambda v: v - F.col("again"))
     anew = F.when(F.col("again") > 0, F.array_distinct(F.concat(before, after))).otherwise(F.col("tail_picked"))
     rows = rows.withColumn("edited_picked", anew).withColumn("edited_own", hash_set("edited_picked"))
+    rows = rows.withColumns({f"common_{x}": F.size(F.array_intersect("own", f"{x}_own")) for x in ("edited", "next")})
     return rows.select(
         F.col("id").alias(doc_id), "n_chars", "edited", "picked", "edited_picked",
-        likeness("own", "edited_own").alias("near_edited"), likeness("own", "next_own").alias("near_next"),
+        likeness("own", "edited_own", "common_edited").alias("near_edited"), likeness("own", "next_own", "common_next").alias("near_next"),
     )
