@@ -5,6 +5,7 @@ import html
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -471,6 +472,46 @@ def test_html_blocks_at_the_edge_and_galleries_stay(page, want):
     assert html_text.extract(page, WEIGHTS) == want
 
 
+@pytest.mark.parametrize("page", [
+    '<script>var t="<main>"</script><div><p>{}</p></div>', "<!-- <article> --><div><p>{}</p></div>", '<div data-id="footer-12"><p>{}</p></div>',
+    '<div data-role="banner"><p>{}</p></div>', '<div title="class=ad"><p>{}</p></div>', '<div class="socialist-history"><p>{}</p></div>', '<body class="has-sidebar comments-open"><p>{}</p>',
+])
+def test_html_ordinary_pages_keep_their_text(page):
+    text = "An ordinary page says what it has to say in a sentence or two."
+    assert html_text.extract(page.format(text), WEIGHTS) == text
+
+
+HINTLESS = [
+    "<div><a>Home</a><a>News</a><a>About</a></div><div><p>{}</p><p>{}</p></div><div><a>Next</a><a>Older</a></div>",
+    "<table><tr><td><a>One</a></td><td><a>Two</a></td></tr></table><h1>{}</h1><p>{}</p><ul><li><a>Read more</a></li><li><a>Share</a></li></ul>",
+    "<ul><li><a>Start</a></li><li><a>Shop now</a></li></ul><div><div><p>{}</p></div><div><p>{}</p></div></div><ul><li><a>Imprint</a></li></ul>",
+]
+
+
+@pytest.mark.parametrize("page", HINTLESS)
+def test_html_region_is_what_the_scan_chooses(page):
+    """No element or class says anything here: without the scan the links would stay."""
+    texts = "The text of a page has words enough to pay for its tags.", "A second block follows it and counts as well."
+    items = html_text.scored(page.format(*texts), WEIGHTS)
+    assert html_text.extract(page.format(*texts), WEIGHTS) == " ".join(texts)
+    assert " ".join("".join(t for _, t in items).split()) != " ".join(texts)
+
+
+def test_best_stretch_equals_brute_force():
+    rnd = random.Random(5)
+    for _ in range(300):
+        scores = [rnd.choice([-3, -1, -0.5, 0, 1, 2, 4]) for _ in range(rnd.randint(0, 14))]
+        a, b = html_text.best_stretch(scores)
+        assert sum(scores[a:b]) == max((sum(scores[i:j]) for i in range(len(scores) + 1) for j in range(i, len(scores) + 1)), default=0)
+
+
+def test_html_depth_costs_no_more_than_length():
+    began = time.process_time()
+    page = "<div class=text>" * 100_000 + "<p>deep words here</p>" + "</b>" * 50_000 + "</div>" * 100_000
+    assert html_text.extract(page, WEIGHTS) == "deep words here"
+    assert time.process_time() - began < 10
+
+
 def test_html_edges(spark):
     df = spark.createDataFrame([(1, "u", None, "t"), (2, None, "<p>x</p>" * 20_000, "t"), (None, "u", "<p>q</p>", "t")], "page_id long, url string, html string, text string")
     got = {r.page_id: r for r in html_text.main_text(df).collect()}
