@@ -217,11 +217,29 @@ def test_links_of_dense_and_sparse_cells(spark, monkeypatch, cell):
     assert len({next(iter(v)) for v in classes.values()}) == len(classes)
 
 
-def test_references_tell_supports_apart():
-    assert len(simhash_dedup.REFERENCES) == 64
-    x = np.arange(1 << 16)
-    rows = np.stack([np.bitwise_count(x ^ ref) for s, ref in simhash_dedup.REFERENCES if s == 0])
-    assert len(np.unique(rows, axis=1).T) == 1 << 16
+def test_pivot_tables_discard_pairs_and_do_not_stand_for_bits(spark):
+    rnd = random.Random(1)
+    tables = {}
+    base = [rnd.getrandbits(64) for _ in range(200)]
+    pairs = [(x, x ^ 1 << rnd.randrange(64) ^ 1 << rnd.randrange(64)) for x in base] + [(x, x & (1 << 32) - 1 | rnd.getrandbits(32) << 32) for x in base]
+    far = lambda x: [(x ^ r).bit_count() for r in simhash_dedup.REFERENCES]
+    df = spark.createDataFrame([(simhash_dedup._signed(x), simhash_dedup._signed(y)) for x, y in pairs], "x long, y long")
+    df = df.select("x", "y", simhash_dedup.table(df.x).alias("a"), simhash_dedup.table(df.y).alias("b")).withColumn("ok", simhash_dedup.survives("a", "b"))
+    got = {(r.x & (1 << 64) - 1, r.y & (1 << 64) - 1): r.ok for r in df.collect()}
+    for x, y in pairs:
+        spread = max(abs(a - b) for a, b in zip(far(x), far(y)))
+        assert got[x, y] == (spread <= simhash_dedup.RADIUS) and ((x ^ y).bit_count() > 2 or got[x, y])
+    assert sum(got[p] for p in pairs[:200]) == 200 and sum(got[p] for p in pairs[200:]) < 10
+    # blocks of 16 bits that differ in many ways have one and the same distance to a reference
+    tables = {tuple((x ^ r & 0xFFFF).bit_count() for r in simhash_dedup.REFERENCES[:1]) for x in range(1 << 16)}
+    assert len(tables) == 17
+    assert [len(m) for m in simhash_dedup.ROUNDS] == [6, 36, 216] and {m.bit_count() for m in simhash_dedup.ROUNDS[-1]} == {56}
+
+
+def test_keep_first_with_clashing_names(spark):
+    df = spark.createDataFrame([(1, "a b c d", 1, 2, 3, 4), (2, "A b c d", 1, 2, 3, 4), (2, "A b c d", 1, 2, 3, 4), (3, "q r s t", 1, 2, 3, 4), (3, "q r s t", 1, 2, 3, 5)], "doc_id long, text string, known long, same long, nth_ long, `first.x` long")
+    left = simhash_dedup.keep_first(df)
+    assert left.columns == df.columns and sorted(r.doc_id for r in left.collect()) == [1, 3]
 
 
 def test_replacement_characters_of_the_input_stay(spark):
