@@ -18,7 +18,9 @@ from strandflow.operators import apply, batches, changes, metrics, positions, re
 from strandflow.plans.plan import TablePlan, bind, column_of, quoted, route
 from strandflow.session import shared_folder, table
 from strandflow.sources import tables
+from strandflow.sources.files import Files
 from strandflow.sources.index_store import IndexStore
+from strandflow.sources.state import Position
 from strandflow.spec import TableSpec
 from strandflow.streaming import pipeline
 
@@ -63,6 +65,7 @@ def change_log(events: DataFrame) -> DataFrame:
         F.lit(DATABASE).alias("database"), F.lit("users").alias("table"), F.lit(0).alias("row_no"),
         F.when(gone, row).when(~fresh, before).alias("before"), F.when(~gone, row).alias("after"),
         *[F.lit(None).cast("array<string>").alias(f"{s}_{n}") for s in ("before", "after") for n in ("present", "unknown")],
+        F.lit(None).cast("string").alias("query"), F.lit(None).cast("string").alias("rotate_file"), F.lit(None).cast("long").alias("rotate_pos"),
     )
 
 
@@ -338,18 +341,37 @@ def binlog(events: DataFrame) -> DataFrame:
     )
 
 
-@query("""
+_SAFE_SQL = """
 WITH k AS (SELECT event_id AS seq, CASE WHEN event_type = 'signup' THEN 'query' WHEN event_type = 'purchase' THEN 'xid' WHEN event_type = 'view' THEN 'rows' WHEN event_id % 11 = 0 THEN 'rotate' WHEN event_type = 'error' AND event_id % 7 = 0 THEN 'payload' WHEN event_type = 'error' THEN 'heartbeat' ELSE 'query' END AS kind,
   CASE WHEN event_type = 'signup' THEN 'BEGIN' WHEN event_id % 5 = 0 THEN 'COMMIT' ELSE 'OTHER' END AS text, CASE WHEN event_id % 13 = 0 THEN 0 ELSE event_id * 10 + 10 END AS log_pos FROM events),
 f AS (SELECT *, kind = 'xid' OR kind = 'query' AND text = 'COMMIT' AS ends, kind IN ('rows', 'payload') OR kind = 'query' AND text = 'BEGIN' AS opens FROM k),
 b AS (SELECT *, coalesce(last_value(CASE WHEN opens THEN true WHEN ends THEN false END IGNORE NULLS) OVER w, false) AS was_open, coalesce(last_value(CASE WHEN kind = 'payload' THEN true WHEN ends THEN false END IGNORE NULLS) OVER w, false) AS was_packed FROM f WINDOW w AS (ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 p AS (SELECT *, coalesce(last_value(CASE WHEN kind = 'rotate' THEN 4 WHEN log_pos <> 0 AND NOT was_packed THEN log_pos END IGNORE NULLS) OVER w, 4) AS current_pos, coalesce(last_value(CASE WHEN kind = 'rotate' THEN printf('bin.%06d', seq) END IGNORE NULLS) OVER w, 'bin.000001') AS current_file, ends OR (kind = 'rotate' OR kind = 'query' AND text = 'OTHER') AND NOT was_open AS safe FROM b WINDOW w AS (ORDER BY seq ROWS UNBOUNDED PRECEDING))
-SELECT seq, current_file, CAST(current_pos AS BIGINT) AS current_pos, coalesce(last_value(CASE WHEN safe THEN current_file END IGNORE NULLS) OVER w, 'bin.000001') AS safe_file, CAST(coalesce(last_value(CASE WHEN safe THEN current_pos END IGNORE NULLS) OVER w, 4) AS BIGINT) AS safe_pos FROM p WINDOW w AS (ORDER BY seq ROWS UNBOUNDED PRECEDING)""")
+SELECT seq, current_file, CAST(current_pos AS BIGINT) AS current_pos, coalesce(last_value(CASE WHEN safe THEN current_file END IGNORE NULLS) OVER w, 'bin.000001') AS safe_file, CAST(coalesce(last_value(CASE WHEN safe THEN current_pos END IGNORE NULLS) OVER w, 4) AS BIGINT) AS safe_pos FROM p WINDOW w AS (ORDER BY seq ROWS UNBOUNDED PRECEDING)"""
+
+
+@query(_SAFE_SQL)
 def safe_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = binlog(table(spark, sf_dir, "events").select("event_id", "event_type"))
     return positions.safe_positions(log, "bin.000001", 4).select("seq", "current_file", "current_pos", "safe_file", "safe_pos")
 
 
+@query(f"SELECT arg_max(safe_file, seq) AS file, arg_max(safe_pos, seq) AS pos FROM ({_SAFE_SQL})")
+def saved_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The position that a stream over the log has saved when it ends: not the last one, if a transaction is open there."""
+    folder = f"{shared_folder(spark)}/log-{uuid.uuid4().hex}"
+    log = binlog(table(spark, sf_dir, "events").select("event_id", "event_type")).withColumnRenamed("log_pos", "pos")
+    log.withColumn("file", F.lit(None).cast("string")).repartitionByRange(3, "seq").sortWithinPartitions("seq").write.parquet(f"{folder}/log")
+    stored = spark.read.parquet(f"{folder}/log")
+    saved: list[Position] = []
+    commit = pipeline.SafeCheckpoint(Files(spark, f"{folder}/state"), Position("bin.000001", 4), saved.append, every_events=1)
+    for k, name in enumerate(sorted(x.rsplit("/", 1)[1] for x in stored.inputFiles())):  # files in the order of the log
+        events = spark.readStream.schema(stored.schema).option("pathGlobFilter", name).parquet(f"{folder}/log")
+        events.writeStream.foreachBatch(lambda batch, _: commit(batch)).option("checkpointLocation", f"{folder}/checkpoint-{k}").trigger(availableNow=True).start().awaitTermination()
+    commit.finish()
+    return spark.createDataFrame([(saved[-1].file, saved[-1].pos)], "file string, pos long")
+
+
 @query(f"""
 WITH {_LOG_SQL} SELECT count(*) AS operations, count(*) FILTER (WHERE op = 'upsert') AS upserts, count(*) FILTER (WHERE op = 'delete') AS deletes, count(event_type) AS documents_with_body,
 CAST(coalesce(sum(strlen('{{"user_id":' || document_id || ',"event_type":"' || event_type || '"}}')), 0) AS BIGINT) AS bytes_sent, CASE WHEN count(*) = 0 THEN 0.0 ELSE count(*) FILTER (WHERE op = 'delete') / count(*) END AS delete_share FROM ops""")
@@ -393,4 +415,6 @@ def stream_equals_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     store.prepare([plan])
     pipeline.start(events, store, [plan], f"{folder}/checkpoint").awaitTermination()
     state = store.state("users")
-    return _final(state if state is not None else apply.last_operations(_ops(spark, sf_dir)))
+    if state is None:
+        raise RuntimeError("the stream left no index")
+    return _final(state)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -67,6 +69,11 @@ def json_bytes(document: Column) -> Column:
     return F.octet_length(json_text(document))
 
 
+def logged_id(document: dict, key: str) -> str:
+    """How a log names a document: its key as JSON, so that a text keeps its quotes, or a word for none."""
+    return json.dumps(document[key], ensure_ascii=False, default=str) if key in document else "<missing>"
+
+
 def statement(query: Column) -> Column:
     """Statement text for comparison: without surrounding space and final semicolons, in upper case."""
     return F.upper(F.regexp_replace(query, r"^\s+|[\s;]+$", ""))

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandflow.plans.plan import TablePlan
+from strandflow.plans.plan import TablePlan, column_of
 
 UPSERT, DELETE, IGNORED = "upsert", "delete", "ignored"
 
@@ -27,6 +27,22 @@ def _knows(side: str, name: str) -> Column:
     return _has(side, name) & ~F.coalesce(missing, F.lit(False))
 
 
+def named(events: DataFrame, plan: TablePlan) -> DataFrame:
+    """``events`` with the images' columns under their names where the log only has their places (@0, @1, ...)."""
+    own = plan.schema.names
+    for side in ("before", "after"):
+        fields = events.schema[side].dataType.names
+        if any(f.startswith("@") for f in fields):
+            image = F.struct(*[F.col(side)[f].alias(column_of(f, own)) for f in fields])
+            events = events.withColumn(side, F.when(F.col(side).isNotNull(), image))
+    known = F.lit(own)
+    for column in (f"{s}_{n}" for s in ("before", "after") for n in ("present", "unknown")):
+        if column in events.columns:
+            at = lambda c: F.when(c.startswith("@"), F.element_at(known, F.substring(c, 2, 9).try_cast("int") + 1)).otherwise(c)
+            events = events.withColumn(column, F.transform(column, at))
+    return events
+
+
 def complete(plan: TablePlan, side: str = "after") -> Column:
     """Whether an image has a known value for every field of the document."""
     return reduce(Column.__and__, (_knows(side, f) for f in plan.spec.fields))
@@ -52,6 +68,7 @@ def derived(events: DataFrame, plan: TablePlan) -> DataFrame:
     that touches nothing is ignored, any other upserts under the key of the after image, or else of the before image.
     A missing key is an error.
     """
+    events = named(events, plan)
     key, spec = plan.spec.primary_key, plan.spec
     no_key = F.raise_error(F.concat(F.lit(f"no {key} in an image of "), F.col("event_id")))
     insert, delete = F.col("before").isNull() & F.col("after").isNotNull(), F.col("before").isNotNull() & F.col("after").isNull()

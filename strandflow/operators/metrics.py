@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import resource
+import threading
 import time
 import uuid
 from contextlib import contextmanager
@@ -42,6 +44,11 @@ class RunMetrics:
     batches: int = 0
     stage_ms: dict[str, int] = field(default_factory=dict)
     started: float = field(default_factory=time.monotonic)
+    status: str = "running"
+    error: str | None = None
+    peak_rss_mb: int = 0
+    last_rss_mb: int = 0
+    virtual_mb: int = 0
     _cpu: float = field(default_factory=time.process_time, repr=False)
 
     def __post_init__(self):
@@ -56,6 +63,35 @@ class RunMetrics:
         finally:
             self.stage_ms[name] = self.stage_ms.get(name, 0) + int(1000 * (time.monotonic() - began))
 
+    @contextmanager
+    def running(self, period_s: float = 0.5):
+        """Samples this process's memory while the run goes on, and notes how it ended."""
+        done = threading.Event()
+
+        def watch():
+            while True:
+                self.sample()
+                if done.wait(period_s):
+                    return
+
+        thread = threading.Thread(target=watch, daemon=True)
+        thread.start()
+        try:
+            yield self
+            self.status = "succeeded"
+        except BaseException as error:
+            self.status, self.error = "failed", sanitized(error)
+            raise
+        finally:
+            done.set()
+            thread.join()
+
+    def sample(self) -> None:
+        with open("/proc/self/statm", encoding="ascii") as f:
+            pages = [int(x) for x in f.read().split()[:2]]
+        virtual, rss = (p * os.sysconf("SC_PAGE_SIZE") >> 20 for p in pages)
+        self.virtual_mb, self.last_rss_mb, self.peak_rss_mb = virtual, rss, max(self.peak_rss_mb, rss)
+
     def add_operations(self, ops: DataFrame) -> None:
         row = volumes(ops).first()
         self.documents_read += row["documents_with_body"]

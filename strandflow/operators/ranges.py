@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 
 from strandflow.session import checkpointed
 
-#: Ranges, and values of the first column that their edges are taken from: those with the least hashes.
-RANGES, SAMPLE = 64, 4096
+#: Rows that a range holds about, ranges at most, and for each of them the values of the first column that the edges are
+#: taken from: those with the least hashes.
+ROWS, RANGES, SAMPLE = 250_000, 2048, 64
 RANGE = "_range"
 
 
@@ -96,13 +97,15 @@ class Ordered:
         return self.rows.drop(RANGE)
 
 
-def ordered(rows: DataFrame, *order: str, by: tuple[str, ...] = (), ranges: int = RANGES) -> Ordered:
-    """``rows`` dealt to ranges of ``order[0]``, by edges that the driver takes from a sample of bounded size."""
+def ordered(rows: DataFrame, *order: str, by: tuple[str, ...] = (), ranges: int | None = None) -> Ordered:
+    """``rows`` dealt to as many ranges of ``order[0]`` as their number asks for, by edges from a sample of bounded size."""
     first = order[0]
-    sample = rows.select(first).where(F.col(first).isNotNull()).orderBy(F.xxhash64(first)).limit(SAMPLE)
+    if ranges is None:
+        ranges = min(RANGES, max(1, -(-rows.count() // ROWS)))
+    if ranges == 1:
+        return Ordered(rows.withColumn(RANGE, F.lit(0)), tuple(order), by)
+    sample = rows.select(first).where(F.col(first).isNotNull()).orderBy(F.xxhash64(first)).limit(SAMPLE * ranges)
     values = sorted({r[0] for r in sample.collect()})
-    if len(values) < SAMPLE // 2:  # the sample is the table
-        ranges = min(ranges, 1 + len(values) // 512)
     step = max(1, -(-len(values) // ranges))
     place = F.coalesce(_place(F.col(first), values[step::step], 0), F.lit(0))
     return Ordered(rows.withColumn(RANGE, place), tuple(order), by)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandflow.operators.changes import DELETE
-from strandflow.plans.plan import TablePlan
+from strandflow.plans.plan import TablePlan, quoted
 
 
 def resolved(ops: DataFrame, plan: TablePlan) -> DataFrame:
@@ -16,7 +16,7 @@ def resolved(ops: DataFrame, plan: TablePlan) -> DataFrame:
     at the time of the change; later changes follow and the documents converge.
     """
     ready = ops.where(~F.col("reread"))
-    current = plan.rows.select(F.col(plan.spec.primary_key).alias("_key"), plan.document().alias("_now"))
+    current = plan.rows.select(F.col(quoted(plan.spec.primary_key)).alias("_key"), plan.document().alias("_now"))
     asked = ops.where("reread").join(current, F.col("pk") == F.col("_key"), "left")
     gone = F.col("_now").isNull()
     done = asked.withColumn("op", F.when(gone, DELETE).otherwise(F.col("op"))).withColumn("reason", F.when(gone, "missing or excluded").otherwise("reread"))

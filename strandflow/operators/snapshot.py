@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from strandflow.functions.values import json_text
 from strandflow.operators.ranges import number, ordered
-from strandflow.plans.plan import TablePlan
+from strandflow.plans.plan import TablePlan, quoted
 
 
 def documents(plan: TablePlan) -> DataFrame:
@@ -26,14 +26,14 @@ def keyed_documents(plan: TablePlan) -> DataFrame:
 def page(plan: TablePlan, after: object | None = None, size: int | None = None) -> DataFrame:
     """The first page of documents, or the one after the key ``after``: a pushed-down filter and a top-n, no offset."""
     key = plan.spec.primary_key
-    rows = plan.rows if after is None else plan.rows.where(F.col(key) > F.lit(after))
-    rows = rows.orderBy(key).limit(size or plan.spec.snapshot_batch_size)
+    rows = plan.rows if after is None else plan.rows.where(F.col(quoted(key)) > F.lit(after))
+    rows = rows.orderBy(quoted(key)).limit(size or plan.spec.snapshot_batch_size)
     return rows.select(*[plan.value(f).alias(plan.spec.target(f)) for f in plan.spec.fields])
 
 
 def _cut(plan: TablePlan, size: int) -> DataFrame:
     key = plan.spec.primary_key
-    numbered = ordered(plan.rows.select(F.col(key).alias("key")), "key").scan(n=number()).done()
+    numbered = ordered(plan.rows.select(F.col(quoted(key)).alias("key")), "key").scan(n=number()).done()
     return numbered.select("key", F.floor((F.col("n") - 1) / size).alias("part"))
 
 
@@ -47,7 +47,7 @@ def parts(plan: TablePlan, size: int) -> DataFrame:
 
 def lookup(plan: TablePlan, key: object) -> DataFrame:
     """The current document of one key, or nothing if it is gone or the filter excludes it."""
-    return plan.rows.where(F.col(plan.spec.primary_key) == F.lit(key)).limit(1).select(*[plan.value(f).alias(plan.spec.target(f)) for f in plan.spec.fields])
+    return plan.rows.where(F.col(quoted(plan.spec.primary_key)) == F.lit(key)).limit(1).select(*[plan.value(f).alias(plan.spec.target(f)) for f in plan.spec.fields])
 
 
 def merged(plans: list[TablePlan]) -> DataFrame:

@@ -27,11 +27,11 @@ class TablePlan:
 
     def value(self, name: str, of: Column | None = None) -> Column:
         """A field as the document holds it, from the row or from a struct that has it."""
-        return document_value(F.col(name) if of is None else of[name], self.kind(name))
+        return document_value(F.col(quoted(name)) if of is None else of[name], self.kind(name))
 
     def key_text(self, of: Column | None = None) -> Column:
         name = self.spec.primary_key
-        return document_id(F.col(name) if of is None else of[name], self.kind(name))
+        return document_id(F.col(quoted(name)) if of is None else of[name], self.kind(name))
 
     def document(self, of: Column | None = None) -> Column:
         return F.struct(*[self.value(f, of).alias(self.spec.target(f)) for f in self.spec.fields])

@@ -23,6 +23,9 @@ class Files:
     def _at(self, name: str):
         return self._fs.makeQualified(self._hadoop.Path(self.path(name)))
 
+    def exists(self, name: str) -> bool:
+        return self._fs.exists(self._at(name))
+
     def read(self, name: str) -> str | None:
         if not self._fs.exists(self._at(name)):
             return None

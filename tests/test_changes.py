@@ -5,7 +5,8 @@ from pyspark.sql import Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strandflow.operators import apply, batches, changes, positions, ranges, reread
+from strandflow.functions import values
+from strandflow.operators import apply, batches, changes, positions, ranges, reread, snapshot
 from strandflow.operators.ranges import last_known, number, ordered, previous, running_sum
 from strandflow.plans.plan import bind, bind_all, column_of, quoted, route
 from strandflow.sources.tables import image_type, routed_or_fail
@@ -197,3 +198,15 @@ def test_scans_in_ranges_equal_plain_python(spark, monkeypatch):
             total, last = total + (r.v or 0), r.v if r.v is not None else last
             assert (r.s, r.l) == (total, last)
     assert ordered(df.limit(0), "n").scan(k=number()).done().count() == 0
+
+
+def test_images_by_place_and_quoted_fields(spark):
+    source = spark.createDataFrame([(1, "a", "x")], "id long, `a.b` string, other string")
+    spec = TableSpec("t", "t", "id", ("id", "a.b"), "d", field_aliases={"a.b": "ab"})
+    p = bind(spec, source)
+    assert [tuple(r) for r in snapshot.documents(p).collect()] == [(1, "a")] and snapshot.lookup(p, 1).first().ab == "a"
+    kind = "seq long, file string, pos long, row_no int, before struct<`@0`:long,`@1`:string,`@2`:string>, after struct<`@0`:long,`@1`:string,`@2`:string>, before_present array<string>, before_unknown array<string>, after_present array<string>, after_unknown array<string>"
+    rows = [(1, "f", 1, 0, (7, "a", "x"), (7, "a", "y"), None, None, None, None), (2, "f", 2, 0, (7, "a", "x"), (7, "b", "x"), None, None, None, None), (3, "f", 3, 0, (8, None, None), (None, "c", None), ["@0"], None, ["@1"], None)]
+    got = {r.seq: r for r in changes.derived(spark.createDataFrame(rows, kind), p).collect()}
+    assert [got[k].kind for k in (1, 2, 3)] == ["ignored", "upsert", "upsert"] and got[2].document.ab == "b" and got[3].document_id == "8" and got[3].needs_fetch
+    assert values.logged_id({"id": "x"}, "id") == '"x"' and values.logged_id({"id": 4}, "id") == "4" and values.logged_id({}, "id") == "<missing>"
