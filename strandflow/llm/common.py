@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from strandflow.session import checkpointed, shared_folder  # noqa: F401  also for the other modules
 
-#: Bytes of text one group of documents holds on average; a Python task works on one group.
-GROUP_BYTES = 2 << 20
+#: Bytes of text one group of documents holds on average; a Python task works on one group. From GROUP_FROM bytes on
+#: groups grow with the square root of the corpus, up to GROUP_MOST times as large.
+GROUP_BYTES, GROUP_FROM, GROUP_MOST = 2 << 20, 4 << 30, 8
 #: Bytes of text that are turned into numpy arrays together.
 CHUNK_BYTES = 1 << 18
 
@@ -38,7 +39,11 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
 
 def text_bytes(docs: DataFrame, text: str) -> int:
     """Bytes of all texts: one aggregate over the text column."""
-    return docs.agg(F.sum(F.octet_length(text).cast("long")).alias("n")).first()["n"] or 0
+    return docs.agg(F.sum(F.octet_length(quoted(text)).cast("long")).alias("n")).first()["n"] or 0
+
+
+def group_bytes(total: int) -> int:
+    return int(GROUP_BYTES * min(GROUP_MOST, max(1.0, math.sqrt(total / GROUP_FROM))))
 
 
 def grouped(docs: DataFrame, doc_id: str, text: str, carry: list[str] | None = None) -> tuple[DataFrame, int]:
@@ -48,11 +53,11 @@ def grouped(docs: DataFrame, doc_id: str, text: str, carry: list[str] | None = N
     columns ``carry``.
     """
     total = text_bytes(docs, text)
-    groups = max(1, math.ceil(total / GROUP_BYTES))
-    body = F.coalesce(F.col(text), F.lit(""))
-    g = F.pmod(F.xxhash64(F.col(doc_id), body), F.lit(groups)).cast("int")
-    rest = [F.struct(*carry).alias("rest")] if carry else []
-    return docs.select(g.alias("g"), F.col(doc_id).alias("id"), body.cast("binary").alias("body"), *rest), total
+    groups = max(1, math.ceil(total / group_bytes(total)))
+    body = F.coalesce(quoted(text), F.lit(""))
+    g = F.pmod(F.xxhash64(quoted(doc_id), body), F.lit(groups)).cast("int")
+    rest = [F.struct(*map(quoted, carry)).alias("rest")] if carry else []
+    return docs.select(g.alias("g"), quoted(doc_id).alias("id"), body.cast("binary").alias("body"), *rest), total
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -3,6 +3,10 @@
 A group of documents sends each of its hashes once, cut by value into buckets; one row holds all of a group's hashes for
 one bucket. A bucket's task sorts what it got and answers each blob with one status byte per hash. So a hash that a
 third of all rows hold reaches its bucket once a group, not once a row, and the answers are small.
+
+A group's hashes are spread over all buckets, so the larger the corpus, the fewer share a row: never more rows than
+hashes, and to keep them well below, groups grow with the corpus (``common.group_bytes``) and buckets are large. Rows are
+made and cut as whole arrays, without a step of Python for each.
 """
 
 from __future__ import annotations
@@ -14,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 #: Hashes a bucket gets about, if none repeats.
-BUCKET_KEYS = 100_000
+BUCKET_KEYS = 400_000
 ASKED = "b int, g int, keys binary, multi binary"
 ANSWERED = "round int, g int, b int, status binary"
 _ASKED = pa.schema([("b", pa.int32()), ("g", pa.int32()), ("keys", pa.binary()), ("multi", pa.binary())])
@@ -43,16 +47,15 @@ def ask(g: int, keys: np.ndarray, multi: np.ndarray, n: int) -> pa.Table:
     """Rows for sorted distinct ``keys``, dealt evenly to ``n`` buckets by the upper 32 bits: one for each that gets any."""
     of = ((keys[:, 0] >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
     at = np.flatnonzero(np.append(len(of) > 0, of[1:] != of[:-1])) if len(of) else np.zeros(0, np.int64)
-    parts = [(int(of[s]), s, e) for s, e in zip(at, np.append(at[1:], len(of)))]
-    return pa.table(
-        [
-            pa.array([b for b, _, _ in parts], pa.int32()),
-            pa.array([g] * len(parts), pa.int32()),
-            pa.array([keys[s:e].tobytes() for _, s, e in parts], pa.binary()),
-            pa.array([multi[s:e].astype(np.uint8).tobytes() for _, s, e in parts], pa.binary()),
-        ],
-        schema=_ASKED,
-    )
+    ends = np.append(at, len(of))
+    blobs = [_blobs(keys, ends * keys.shape[1] * 8), _blobs(multi.astype(np.uint8), ends)]
+    return pa.table([pa.array(of[at].astype(np.int32)), pa.array(np.full(len(at), g, np.int32)), *blobs], schema=_ASKED)
+
+
+def _blobs(data: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """``data`` cut at ``ends`` (bytes) into binary values, without a step for each: there may be as many as keys."""
+    body = np.ascontiguousarray(data).tobytes()
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends.astype(np.int32).tobytes()), pa.py_buffer(body)])
 
 
 def answers(table: pa.Table, round_: int, length: int) -> np.ndarray:
@@ -74,10 +77,9 @@ def _by_blob(table: pa.Table, width: int) -> tuple[list[int], np.ndarray, np.nda
 
 
 def _reply(round_: int, b: int, gs: list[int], status: np.ndarray, sizes: np.ndarray) -> pa.Table:
-    ends = np.cumsum(sizes)
-    cut = [status[e - s : e].tobytes() for e, s in zip(ends, sizes)]
     n = len(gs)
-    return pa.table([pa.array([round_] * n, pa.int32()), pa.array(gs, pa.int32()), pa.array([b] * n, pa.int32()), pa.array(cut, pa.binary())], schema=_ANSWERED)
+    cut = _blobs(status, np.concatenate([[0], np.cumsum(sizes)]))
+    return pa.table([pa.array(np.full(n, round_, np.int32)), pa.array(gs, pa.int32()), pa.array(np.full(n, b, np.int32)), cut], schema=_ANSWERED)
 
 
 def repeated_in(table: pa.Table, round_: int, width: int) -> pa.Table:

@@ -190,16 +190,17 @@ def remainder(doc_id: str) -> Column:
 def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", held_out: int = 2) -> Model | None:
     """A model learned from labelled documents outside the fold ``held_out``; None if there are none.
 
-    The counts of the languages are of all such documents; the network sees a sample drawn by a hash of the id, bounded
-    by SAMPLE_DOCS documents a language and SAMPLE_SPANS stretches each, spread over the whole text.
+    The counts of the languages are of all such documents; the network sees a sample, bounded by twice SAMPLE_DOCS
+    documents a language and SAMPLE_SPANS stretches each, spread over the whole text. It is drawn by a hash of id and
+    text; of a language that has none drawn (many rows that are alike), the documents with the least hashes are taken.
     """
     labelled = docs.where(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}") & (remainder(doc_id) != held_out))
     counts = {r[lang]: r["n"] for r in labelled.groupBy(lang).agg(F.count("*").alias("n")).collect()}
     if not counts:
         return None
     share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, SAMPLE_DOCS / n))])
-    lot = F.pmod(F.xxhash64(F.lit(SEED), F.col(doc_id)), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    drawn = labelled.where(lot < share[F.col(lang)]).select(F.col(doc_id).alias("id"), F.col(lang).alias("lang"), F.col(text).cast("binary").alias("body"))
+    number = F.pmod(F.xxhash64(F.lit(SEED), F.col(doc_id), F.col(text)), F.lit(1 << 20))
+    rows = labelled.select(F.col(doc_id).alias("id"), F.col(lang).alias("lang"), F.col(text).cast("binary").alias("body"), number.alias("lot"))
 
     def cut(batches):
         for batch in batches:
@@ -211,10 +212,15 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
             cols = list(zip(*out)) or [()] * 4
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], batch.column("id").type), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.int32()), pa.array(cols[3], pa.binary())], ["id", "lang", "k", "span"])
 
-    kind = dict(drawn.dtypes)["id"]
-    spans = drawn.mapInArrow(cut, f"id {kind}, lang string, k int, span binary").limit(2 * SAMPLE_DOCS * SAMPLE_SPANS * len(counts)).collect()
-    spans.sort(key=lambda r: (r.lang, r.id is None, r.id, r.k, bytes(r.span)))
-    return train_model([bytes(r.span) for r in spans], [r.lang for r in spans]) if spans else None
+    shape = f"id {dict(rows.dtypes)['id']}, lang string, k int, span binary"
+    drawn = rows.where(F.col("lot") / float(1 << 20) < share[F.col("lang")])
+    most = 2 * SAMPLE_DOCS * SAMPLE_SPANS
+    found = drawn.select("id", "lang", "body", "lot").mapInArrow(cut, shape).orderBy(F.xxhash64("lang", "id", "k", "span")).limit(most * len(counts)).collect()
+    for missing in set(counts) - {r.lang for r in found}:
+        least = rows.where(F.col("lang") == missing).orderBy("lot", F.xxhash64("body")).limit(SAMPLE_DOCS)
+        found += least.mapInArrow(cut, shape).collect()
+    spans = sorted({(r.lang, str(r.id), r.k, bytes(r.span)) for r in found})
+    return train_model([s[3] for s in spans], [s[0] for s in spans])
 
 
 def predict(docs: DataFrame, model: Model | None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandflow.llm.common import checkpointed
+from strandflow.llm.common import checkpointed, fresh, quoted
 
 SEED = "mix-1"
 #: Weights are the sources' sizes to this power unless they are given: between a uniform mix (0) and none (1).
@@ -22,8 +22,11 @@ PART = 16.0
 TERMS = 96
 #: Sources up to which their rates are sent to all executors; beyond, the join is shuffled.
 BROADCAST_ROWS = 100_000
-#: Hex digits of a digest that make a uniform number.
+#: Hex digits of a digest that make a uniform number, and the largest such number.
 _DIGITS = 13
+_LARGEST = 1 - 16.0**-_DIGITS
+#: Mean number of copies from which a document's are made in pieces of so many, dealt to tasks before they are made.
+PIECE = 512
 
 
 def rates(docs: DataFrame, source: str = "source", text: str = "text", weights: dict[str | None, float] | None = None, temperature: float = TEMPERATURE) -> DataFrame:
@@ -32,7 +35,7 @@ def rates(docs: DataFrame, source: str = "source", text: str = "text", weights:
     The output is to have as many characters as the input. ``weights`` (any positive scale; a source not named has 0)
     replaces the sizes to the power ``temperature``. A source without characters has rate 0.
     """
-    sizes = docs.groupBy(F.col(source).alias("source")).agg(F.sum(F.coalesce(F.length(text), F.lit(0)).cast("long")).alias("size"))
+    sizes = docs.groupBy(quoted(source).alias("source")).agg(F.sum(F.coalesce(F.length(quoted(text)), F.lit(0)).cast("long")).alias("size"))
     if weights is None:
         weight = F.pow(F.col("size").cast("double"), F.lit(float(temperature)))
     else:
@@ -53,15 +56,22 @@ def uniform(*parts: Column | str) -> Column:
     return F.conv(F.substring(F.md5(key), 1, _DIGITS), 16, 10).cast("double") / float(16**_DIGITS)
 
 
-def poisson(mean: Column, u: Column) -> Column:
-    """The least n whose cumulative probability exceeds ``u``, for a mean of at most PART."""
-    start = F.struct(F.exp(-mean).alias("p"), F.exp(-mean).alias("below"), F.lit(0).cast("long").alias("n"))
+def cumulative(mean: Column) -> Column:
+    """The cumulative probabilities of 0, 1, ... for a mean of at most PART, up to the first that no number exceeds."""
+    first = F.exp(-mean)
+    start = F.struct(first.alias("p"), first.alias("below"), F.array(first).alias("all"))
 
     def step(acc: Column, k: Column) -> Column:
         p = acc["p"] * mean / k
-        return F.when(acc["below"] > u, acc).otherwise(F.struct(p.alias("p"), (acc["below"] + p).alias("below"), (acc["n"] + 1).alias("n")))
+        more = F.struct(p.alias("p"), (acc["below"] + p).alias("below"), F.array_append(acc["all"], acc["below"] + p).alias("all"))
+        return F.when(acc["below"] > _LARGEST, acc).otherwise(more)
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(TERMS)), start, step, lambda acc: acc["n"])
+    return F.aggregate(F.sequence(F.lit(1), F.lit(TERMS)), start, step, lambda acc: acc["all"])
+
+
+def poisson(below: Column, u: Column) -> Column:
+    """The least n whose cumulative probability, of the table ``below``, exceeds ``u``; TERMS if none does."""
+    return F.least(F.size(F.filter(below, lambda c: c <= u)), F.lit(TERMS)).cast("long")
 
 
 def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text", weights: dict[str | None, float] | None = None, temperature: float = TEMPERATURE, seed: str = SEED) -> DataFrame:
@@ -70,16 +80,28 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: s
     A null id or source takes part like any other value, a null text has size 0, and repeated rows have the draw of
     their id. An empty table gives no rows; all columns are kept, but columns named ``copy`` or ``shuffle_key`` replaced.
     """
-    known = rates(docs, source, text, weights, temperature).select(F.col("source").alias("_mix_of"), F.col("rate").alias("_mix_rate")).where("rate > 0")
-    if known.count() <= BROADCAST_ROWS:
+    of, rate, parts, table, n, piece = fresh(docs, "of", "rate", "parts", "table", "n", "piece")
+    known = rates(docs, source, text, weights, temperature).where("rate > 0").select(F.col("source").alias(of), F.col("rate").alias(rate))
+    known = known.withColumn(parts, F.greatest(F.lit(1), F.ceil(F.col(rate) / PART).cast("int")))
+    known = checkpointed(known.withColumn(table, cumulative(F.col(rate) / F.col(parts))))
+    facts = known.agg(F.count("*").alias("n"), F.max(rate).alias("most")).first()
+    if facts["n"] <= BROADCAST_ROWS:
         known = F.broadcast(known)
-    own = docs.join(known, docs[source].eqNullSafe(F.col("_mix_of"))).drop("_mix_of")
-    rate = F.col("_mix_rate")
-    parts = F.greatest(F.lit(1), F.ceil(rate / PART).cast("int"))
-    draws = F.transform(F.sequence(F.lit(0), parts - 1), lambda k: poisson(rate / parts, uniform(seed, F.col(doc_id), k)))
-    copies = own.withColumn("_mix_copies", F.aggregate(draws, F.lit(0).cast("long"), lambda n, x: n + x)).where("_mix_copies > 0")
-    copies = copies.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_mix_copies") - 1))).drop("_mix_copies", "_mix_rate")
-    keyed = copies.withColumn("shuffle_key", F.md5(F.concat_ws("|", F.lit(seed), F.lit("order"), F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.col("copy").cast("string"))))
+    own = docs.drop("copy", "shuffle_key").join(known, quoted(source).eqNullSafe(F.col(of))).drop(of)
+    kept = [c for c in docs.columns if c not in ("copy", "shuffle_key")]
+    draws = F.transform(F.sequence(F.lit(0), F.col(parts) - 1), lambda k: poisson(F.col(table), uniform(seed, quoted(doc_id), k)))
+    drawn = own.select(*map(quoted, kept), rate, F.aggregate(draws, F.lit(0).cast("long"), lambda a, x: a + x).alias(n))
+    # the outer form keeps Spark from drawing once more in a filter; documents without a copy leave no number behind
+    numbers = lambda low, high: F.when(high >= low, F.sequence(low, high))
+    some = drawn.where(F.col(rate) <= PIECE) if (facts["most"] or 0) > PIECE else drawn
+    copies = some.select(*map(quoted, kept), F.explode_outer(numbers(F.lit(0).cast("long"), F.col(n) - 1)).alias("copy"))
+    if (facts["most"] or 0) > PIECE:
+        many = drawn.where(F.col(rate) > PIECE).select(*map(quoted, kept), n, F.explode_outer(numbers(F.lit(0).cast("long"), F.floor((F.col(n) - 1) / PIECE))).alias(piece))
+        many = many.where(F.col(piece).isNotNull()).repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), quoted(doc_id), F.col(piece))
+        low, high = F.col(piece) * PIECE, F.least((F.col(piece) + 1) * PIECE, F.col(n)) - 1
+        copies = copies.unionAll(many.select(*map(quoted, kept), F.explode_outer(numbers(low, high)).alias("copy")))
+    copies = copies.where(F.col("copy").isNotNull())
+    keyed = copies.withColumn("shuffle_key", F.md5(F.concat_ws("|", F.lit(seed), F.lit("order"), F.coalesce(quoted(doc_id).cast("string"), F.lit("")), F.col("copy").cast("string"))))
     parallel = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return keyed.repartition(parallel, "shuffle_key").sortWithinPartitions("shuffle_key")
 

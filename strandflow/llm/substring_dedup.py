@@ -30,7 +30,7 @@ _BYTE = splitmix(21, 256)
 _IN_WORD = Rolling(0xA24BAED4963EE407)
 _OVER_WORDS = (Rolling(0x9FB21C651E98DF25), Rolling(0xD6E8FEB86659FD93))
 
-RESULT = "id long, n_words long, removed array<struct<start:long,end:long>>, kept binary"
+RESULT = "id {}, n_words long, removed array<struct<start:long,end:long>>, kept binary"
 
 
 class Words:
@@ -97,9 +97,14 @@ class Words:
         return spaced[keep], np.concatenate([[0], np.cumsum(keep)])[self.doc_end]
 
 
+def ranked_rows(ids: list, bodies: list[bytes]) -> list[int]:
+    """Places of rows in an order that only the rows determine, ids of any type that can be sorted, null last."""
+    return sorted(range(len(ids)), key=lambda i: (True, bodies[i]) if ids[i] is None else (False, ids[i], bodies[i]))
+
+
 def chunks(ids: list, bodies: list[bytes]):
-    """(ids, bodies) in an order that only the rows determine, as many as make about CHUNK_BYTES."""
-    ranked = sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] or 0, bodies[i]))
+    """(ids, bodies) in the order of ``ranked_rows``, as many as make about CHUNK_BYTES."""
+    ranked = ranked_rows(ids, bodies)
     held, size = [], 0
     for i in ranked:
         if held and size + len(bodies[i]) > CHUNK_BYTES:
@@ -129,7 +134,7 @@ def find_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     Words are runs of other than space, tab, LF, VT, FF, CR. A word is removed if a window of WINDOW consecutive words
     of its document that covers it also starts at another place of any document; windows are judged on the input. Fewer
     words than WINDOW: nothing is removed. Null and empty texts have no words. ``removed`` holds maximal word runs,
-    ``kept`` the other words joined by one space. Repeated rows count as documents of their own; other columns are
+    ``kept`` the other words joined by one space. Ids have any type that can be sorted. Repeated rows count as documents of their own; other columns are
     ignored; an empty table gives no rows.
     """
     dealt, total = grouped(docs, doc_id, text)
@@ -170,10 +175,10 @@ def find_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
                 rows["removed"].append([{"start": int(a), "end": int(b)} for a, b in edge.reshape(-1, 2)])
                 rows["kept"].append(out[ends[k - 1] if k else 0 : ends[k]].tobytes().rstrip(b" "))
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-        types = {"id": pa.int64(), "n_words": pa.int64(), "removed": kind, "kept": pa.binary()}
+        types = {"id": table.column("id").type, "n_words": pa.int64(), "removed": kind, "kept": pa.binary()}
         return pa.table({c: pa.array(v, types[c]) for c, v in rows.items()})
 
     one = exchange.repeated(dealt.groupBy("g").applyInArrow(first, exchange.ASKED), 1, 1)
     asked = dealt.groupBy("g").cogroup(one.groupBy("g")).applyInArrow(second, exchange.ASKED)
     both = one.unionAll(exchange.repeated(asked, 2, 2))
-    return dealt.groupBy("g").cogroup(both.groupBy("g")).applyInArrow(result, RESULT).withColumnRenamed("id", doc_id)
+    return dealt.groupBy("g").cogroup(both.groupBy("g")).applyInArrow(result, RESULT.format(dealt.schema["id"].dataType.simpleString())).withColumnRenamed("id", doc_id)

@@ -24,9 +24,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strandflow.llm import exchange
-from strandflow.llm.common import CHUNK_BYTES, Rolling, grouped, mix, splitmix
+from strandflow.llm.common import CHUNK_BYTES, Rolling, grouped, mix, quoted, splitmix
+from strandflow.llm.substring_dedup import ranked_rows
 
 Q = 25
 #: Length of the strings that are looked for: eight times Q, three doublings.
@@ -39,7 +41,9 @@ _LETTER = splitmix(11, 256)
 _ROLL = Rolling(0x9E3779B97F4A7C15)
 _ODD = splitmix(12, 8) | np.uint64(1)
 
-RESULT = "id long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept binary"
+_SPAN = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
+#: What comes after the id.
+RESULT = [T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("spans", T.ArrayType(_SPAN)), T.StructField("kept", T.BinaryType())]
 
 
 def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -139,7 +143,8 @@ class Group:
     def __init__(self, table: pa.Table):
         self.g = table.column("g")[0].as_py()
         ids, bodies = table.column("id").to_pylist(), table.column("body").to_pylist()
-        ranked = sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] or 0, bodies[i]))
+        ranked = ranked_rows(ids, bodies)
+        self.id_type = table.column("id").type
         self.ids, self.bodies = [ids[i] for i in ranked], [bodies[i] for i in ranked]
         self.rest = table.column("rest").take(pa.array(ranked, pa.int64())) if "rest" in table.column_names else None
 
@@ -242,14 +247,14 @@ def find_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ca
             rows["kept"].append(kept.decode("utf-8", "ignore").encode() if valid and cut.any() else kept)
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         types = {"n_bytes": pa.int64(), "n_removed": pa.int64(), "spans": kind, "kept": pa.binary()}
-        out = {"id": pa.array(group.ids, pa.int64())} | {c: pa.array(v, types[c]) for c, v in rows.items()}
+        out = {"id": pa.array(group.ids, group.id_type)} | {c: pa.array(v, types[c]) for c, v in rows.items()}
         return pa.table(out | ({"rest": group.rest} if carry else {}))
 
     one = exchange.repeated(dealt.groupBy("g").applyInArrow(first, exchange.ASKED), 1, 1)
     two = exchange.refined(_with(dealt, one).applyInArrow(later(1), exchange.ASKED), 2)
     both = one.unionAll(two)
     three = exchange.repeated(_with(dealt, both).applyInArrow(later(2), exchange.ASKED), 3, 2)
-    shape = RESULT + (f", rest {dealt.schema['rest'].dataType.simpleString()}" if carry else "")
+    shape = T.StructType([T.StructField("id", dealt.schema["id"].dataType), *RESULT, *([dealt.schema["rest"]] if carry else [])])
     found = _with(dealt, both.unionAll(three)).applyInArrow(result, shape)
     return found.withColumnRenamed("id", doc_id)
 
@@ -263,4 +268,5 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     rest = [c for c in docs.columns if c not in (doc_id, text)]
     found = find_repeats(docs, doc_id, text, rest, valid=True)
     left = F.col("kept").cast("string")
-    return found.select(*[left.alias(c) if c == text else F.col(c if c == doc_id else f"rest.`{c}`").alias(c) for c in docs.columns])
+    of = lambda c: left if c == text else quoted(c) if c == doc_id else F.col("rest")[c]
+    return found.select(*[of(c).alias(c) for c in docs.columns])

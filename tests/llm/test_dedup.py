@@ -282,3 +282,29 @@ def test_queries_give_the_digests(spark, sf_dir):
             if not r.n_removed:
                 left = body if size == "n_bytes" else " ".join(WORD.findall(body))
                 assert r.kept_sha256 == hashlib.sha256(left.encode()).hexdigest()
+
+
+@pytest.mark.parametrize("operator", [suffix_dedup.find_repeats, substring_dedup.find_repeats])
+def test_ids_of_any_type(spark, operator):
+    text = " ".join(f"word{k}" for k in range(60))
+    df = spark.createDataFrame([("b", text), ("a", text), (None, "x " + text), ("c", "other")], "`doc.id` string, text string")
+    got = {r[0]: r for r in operator(df, "doc.id").collect()}
+    assert set(got) == {"a", "b", "c", None} and bytes(got["c"].kept) == b"other" and bytes(got["a"].kept) == b""
+
+
+def test_remove_repeats_with_odd_column_names(spark):
+    df = spark.createDataFrame([(1, "a" * 300, 5, 6), (2, "b", 7, 8)], "doc_id long, text string, `a.b` long, rest long")
+    out = suffix_dedup.remove_repeats(df)
+    assert out.columns == df.columns and {tuple(r) for r in out.collect()} == {(1, "", 5, 6), (2, "b", 7, 8)}
+
+
+def test_rows_of_an_exchange_do_not_outgrow_its_keys():
+    """Rows and bytes a key, at a corpus of one and of ten: rows stay below the keys, bytes a key nearly level."""
+    rng = np.random.default_rng(1)
+    seen = []
+    for times in (1, 10):
+        keys, multi, _ = exchange.distinct(rng.integers(0, 1 << 63, (20_000, 1), dtype=np.uint64))
+        out = exchange.ask(7, keys, multi, 40 * times)
+        assert b"".join(out.column("keys").to_pylist()) == keys.tobytes() and out.num_rows <= len(keys)
+        seen.append((out.num_rows / len(keys), out.nbytes / len(keys)))
+    assert seen[1][0] < 0.05 and seen[1][1] < 1.2 * seen[0][1]

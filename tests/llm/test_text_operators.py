@@ -192,18 +192,28 @@ def test_decontaminate_is_native(spark, sf_dir):
 
 
 def test_poisson_inverts_the_distribution(spark):
-    grid = [(m, u) for m in (0.01, 0.5, 1.0, 7.3, 16.0) for u in (0.0, 0.1, 0.5, 0.9, 0.999, 0.9999999)]
-    df = spark.createDataFrame(grid, "m double, u double").select("m", "u", mixing.poisson(F.col("m"), F.col("u")).alias("n"))
+    grid = [(m, u) for m in (0.01, 0.5, 1.0, 7.3, 16.0) for u in (0.0, 0.1, 0.5, 0.9, 0.999, 0.9999999, 1 - 1e-12)]
+    df = spark.createDataFrame(grid, "m double, u double").select("m", "u", mixing.poisson(mixing.cumulative(F.col("m")), F.col("u")).alias("n"))
     for r in df.collect():
         below, n = math.exp(-r.m), 0
         term = below
-        while below <= r.u:
+        while below <= r.u and n < mixing.TERMS:
             n += 1
             term *= r.m / n
             below += term
         assert r.n == n
 
 
+def test_mix_of_a_tiny_source_is_made_in_pieces_and_names_may_clash(spark, monkeypatch):
+    rows = [(1, "x" * 200_000, "big", 1, 2, 3, 4, 5), (2, "y", "tiny", 1, 2, 3, 4, 5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, `of` long, rate long, n long, copy long, `a.b` long")
+    whole = sorted((r.doc_id, r.copy) for r in mixing.mix(df, weights={"big": 1.0, "tiny": 0.02}).collect())
+    assert sum(d == 2 for d, _ in whole) > 3000 and len(set(whole)) == len(whole)
+    assert set(df.columns) < set(mixing.mix(df).columns) and "_mix_copies" not in mixing.mix(df).columns
+    monkeypatch.setattr(mixing, "PIECE", 1 << 40)
+    assert sorted((r.doc_id, r.copy) for r in mixing.mix(df, weights={"big": 1.0, "tiny": 0.02}).collect()) == whole
+
+
 def test_mix_reaches_its_weights_and_handles_edges(spark):
     rows = [(i, "x" * 100, "en", s, "c", 1) for i, s in enumerate(["a"] * 2000 + ["b"] * 200 + [None] * 20)] + [(9000, None, "en", "a", "c", 1), (None, "yy", "en", "b", "c", 1)]
     df = spark.createDataFrame(rows, KIND)
@@ -284,6 +294,47 @@ def test_language_edges(spark):
     assert language_id.predict(odd.limit(0), model).count() == 0 and language_id.keep_known(odd, None).count() == 0
 
 
+def test_language_model_of_rows_that_share_an_id(spark):
+    rows = [(4, "the house and the garden of it " * 3, "en")] * 900 + [(4, f"der Garten und das Haus Nummer {k} " * 3, "de") for k in range(900)]
+    rows += [(None, f"la casa y el jardín número {k} " * 3, "es") for k in range(50)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.fit(df)
+    assert model is not None and model.langs == ["de", "en", "es"]
+
+
+def test_language_query_equals_a_plain_forward_pass(spark):
+    """Each byte's distribution by loops over one byte at a time, in stretches, averaged over the whole text."""
+    w = _model()
+    model = language_id.Model(["a", "b"], tuple(w[:2]), tuple(w[2:4]), tuple(w[4:6]), w[6])
+    texts = ["abc", "some words " * 30, "é" * 100, "z" * language_id.SPAN]
+    sigmoid = lambda x: 1 / (1 + math.exp(-x))
+
+    def states(d, data):
+        size, h, out = w[2].shape[1], [0.0] * w[2].shape[1], []
+        for byte in data:
+            x, g = w[d][:, byte], [sum(float(w[2 + d][k, j]) * h[j] for j in range(size)) for k in range(3 * size)]
+            z = [sigmoid(float(x[k]) + g[k]) for k in range(size)]
+            r = [sigmoid(float(x[size + k]) + g[size + k]) for k in range(size)]
+            n = [math.tanh(float(x[2 * size + k]) + r[k] * g[2 * size + k]) for k in range(size)]
+            h = [n[k] + z[k] * (h[k] - n[k]) for k in range(size)]
+            out.append(h)
+        return out
+
+    want = []
+    for text in texts:
+        body, total = text.encode(), [0.0, 0.0]
+        for at in range(0, len(body), language_id.SPAN):
+            data = body[at : at + language_id.SPAN]
+            for f, b in zip(states(0, data), states(1, data[::-1])[::-1]):
+                logits = [float(w[6][c]) + sum(float(w[4][c, k]) * f[k] + float(w[5][c, k]) * b[k] for k in range(len(f))) for c in (0, 1)]
+                e = [math.exp(x) for x in logits]
+                total = [t + x / sum(e) for t, x in zip(total, e)]
+        want.append([t / len(body) for t in total])
+    got = {r.doc_id: r for r in language_id.predict(table(spark, texts), model).collect()}
+    for k, (a, b) in enumerate(want):
+        assert got[k].lang_pred == ("a" if a >= b else "b") and abs(got[k].score - max(a, b)) < 1e-4
+
+
 # fingerprints
 
 
