@@ -28,6 +28,8 @@ _POSITION = (1 << 30) - 1
 REACH = GRAM + 2 * WINDOW - 2
 #: Quantiles of doc_id that part the table, and bytes of text that a part holds about.
 QUANTILES, PART_BYTES = 256, 8 << 20
+#: Bytes of text that a task gets about, at most.
+TASK_BYTES = 64 << 20
 #: Ids with the least hashes that the quantiles of ids other than whole numbers are taken from.
 SAMPLE = 4096
 _LONG = "array<long>"
@@ -80,8 +82,8 @@ def _between(col: Column, edges: list, before: int = 0) -> Column:
     return F.when(col >= F.lit(edges[half]), _between(col, edges[half + 1 :], before + half + 1)).otherwise(_between(col, edges[:half], before))
 
 
-def in_parts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(id, text, h, part) where the rows of a part come before those of larger parts by id, hash of the text and text.
+def in_parts(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, int]:
+    """(id, text, h, part), and the bytes of all texts, where the rows of a part come before those of larger parts by id, hash of the text and text.
 
     The parts are ranges between approximate quantiles of the ids (upper 32 bits), each divided again (lower 32): an id
     that several quantiles fall on (a third of all rows without an id, say) by the hash h of its texts, the other ids
@@ -90,18 +92,19 @@ def in_parts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """
     body = F.coalesce(quoted(text), F.lit(""))
     rows = docs.select(quoted(doc_id).alias("id"), body.alias("text"), F.xxhash64(body).alias("h"))
+    size = F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0)).alias("bytes")
     if not isinstance(docs.schema[doc_id].dataType, T.IntegralType):
         drawn = rows.select("id").where(F.col("id").isNotNull()).orderBy(F.xxhash64("id")).limit(SAMPLE).collect()
         ids = sorted({r.id for r in drawn})
-        return rows.withColumn("part", F.shiftleft(_between(F.col("id"), ids[:: max(1, len(ids) // QUANTILES)][1:]).cast("long"), 32))
+        return rows.withColumn("part", F.shiftleft(_between(F.col("id"), ids[:: max(1, len(ids) // QUANTILES)][1:]).cast("long"), 32)), rows.agg(size).first()["bytes"]
     number = F.coalesce(F.col("id").cast("long"), F.lit(_NO_ID))
     asked = [k / QUANTILES for k in range(1, QUANTILES)]
-    seen = rows.agg(F.sum(F.octet_length("text").cast("long")).alias("bytes"), F.percentile_approx(number, asked, 10_000).alias("q")).first()
+    seen = rows.agg(size, F.percentile_approx(number, asked, 10_000).alias("q")).first()
     often = Counter(seen["q"] or [])
     edges = sorted(often)
     bounds = F.lit(edges) if edges else F.array().cast(_LONG)
     q = F.size(F.filter(bounds, lambda e: e <= number))
-    even = max(1, math.ceil((seen["bytes"] or 0) / PART_BYTES / (len(edges) + 1)))
+    even = max(1, math.ceil(seen["bytes"] / PART_BYTES / (len(edges) + 1)))
     low, high = F.get(bounds, q - 1).cast("double"), F.get(bounds, q).cast("double")
     inner = F.least(F.lit(even - 1), F.floor((number.cast("double") - low) / (high - low) * even))
     inner = F.coalesce(F.greatest(F.lit(0), inner), F.lit(0)) if even > 1 and len(edges) > 1 else F.lit(0)
@@ -110,7 +113,7 @@ def in_parts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
         cuts = F.coalesce(F.get(F.lit([hot.get(e, 0) for e in edges]), q - 1), F.lit(0))
         share = F.shiftrightunsigned("h", 33).cast("double") / float(1 << 31)
         inner = F.when((cuts > 0) & (number == F.get(bounds, q - 1)), F.floor(share * cuts)).otherwise(cuts + inner)
-    return rows.withColumn("part", F.shiftleft(q.cast("long"), 32) + inner)
+    return rows.withColumn("part", F.shiftleft(q.cast("long"), 32) + inner), seen["bytes"]
 
 
 def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -119,8 +122,9 @@ def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     ``picked`` are the picked grams of the text, ``own`` is the set of their hashes. Texts are shuffled once; the first
     row of each part goes to the part before it. Rows of equal ids follow one another by a hash of the text, and the text.
     """
-    rows = in_parts(docs, doc_id, text)
-    dealt = rows.repartition("part")
+    rows, total = in_parts(docs, doc_id, text)
+    tasks = math.ceil(total / TASK_BYTES)  # a task has a bounded share of the texts, however few the session asks for
+    dealt = rows.repartition("part") if tasks <= int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) else rows.repartition(tasks, "part")
     order = Window.partitionBy("part").orderBy("id", F.shiftrightunsigned("h", 33), "text")
     first = dealt.withColumn("nth", F.row_number().over(order)).where("nth = 1").select("part", "text")
     first = winnowed(first, "text", "picked").select("part", F.col("text").alias("first_text"), hash_set("picked").alias("first_own"))

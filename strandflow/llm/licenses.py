@@ -1,4 +1,4 @@
-"""License scans: lines, paragraphs and whole texts against licence templates, by Dice coefficient over word bigrams.
+"""License scans: sentences, lines, paragraphs and whole texts against licence templates, by Dice coefficient over word bigrams.
 
 Texts are normalised to lower-cased runs of letters and digits. The likeness of two sets A and B of word bigrams is
 2 |A & B| / (|A| + |B|); it can reach a threshold t only if t / (2 - t) <= |A| / |B| <= (2 - t) / t. So a part's number
@@ -28,6 +28,7 @@ TEMPLATES: list[tuple[str, str, str]] = [
     ("MIT", "notice", "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."),
     ("MIT", "warranty", "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
     ("ISC", "grant", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("ISC", "warranty", "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."),
     ("ISC", "licensed", "Licensed under the ISC License."),
     ("Apache-2.0", "licensed", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "header", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
@@ -35,6 +36,7 @@ TEMPLATES: list[tuple[str, str, str]] = [
     ("BSD", "redistribution", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"),
     ("BSD", "source", "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."),
     ("BSD", "binary", "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."),
+    ("BSD", "warranty", "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."),
     ("BSD-3-Clause", "endorse", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
     ("BSD-3-Clause", "licensed", "Licensed under the BSD 3-Clause License."),
     ("BSD-2-Clause", "licensed", "Licensed under the BSD 2-Clause License."),
@@ -58,7 +60,17 @@ TEMPLATES: list[tuple[str, str, str]] = [
     ("Proprietary", "reserved", "Copyright. All rights reserved."),
 ]
 
+#: Whole licences by their clauses, in order.
+WHOLE = {
+    "MIT": [("MIT", "grant"), ("MIT", "notice"), ("MIT", "warranty")],
+    "ISC": [("ISC", "grant"), ("ISC", "warranty")],
+    "BSD-2-Clause": [("BSD", "redistribution"), ("BSD", "source"), ("BSD", "binary"), ("BSD", "warranty")],
+    "BSD-3-Clause": [("BSD", "redistribution"), ("BSD", "source"), ("BSD", "binary"), ("BSD-3-Clause", "endorse"), ("BSD", "warranty")],
+}
+TEMPLATES += [(licence, "text", " ".join(text for key in clauses for *of, text in TEMPLATES if tuple(of) == key)) for licence, clauses in WHOLE.items()]
+
 _WORD = re.compile(r"[^\W_]+")
+_SENTENCE = re.compile(r"[.!?]+[ \t]+")
 _BLANK = re.compile(r"\n(?:[ \t\r\f\v]*\n)+")
 
 
@@ -111,12 +123,16 @@ class Scanner:
 
 
 def parts(text: str):
-    """The words of each line, of each paragraph that has more than one line, and of a text of more than one paragraph."""
+    """The words of each line, of each sentence of a line that has several, of each paragraph that has more than one line,
+    and of a text of more than one paragraph."""
     paragraphs = _BLANK.split(text)
     whole: list[str] = []
     for paragraph in paragraphs:
         lines = [words(line) for line in paragraph.split("\n")]
         yield from lines
+        for line in paragraph.split("\n"):
+            if len(sentences := [seq for seq in map(words, _SENTENCE.split(line)) if seq]) > 1:
+                yield from sentences
         together = [w for line in lines for w in line]
         if len(lines) > 1:
             yield together
@@ -128,7 +144,7 @@ def parts(text: str):
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", templates: list[tuple[str, str, str]] | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, license, template, score, n_parts) for each row of ``docs`` and each licence that a part of it matches.
 
-    ``template`` is the most alike wording, the first by name of equals; ``n_parts`` counts the lines, paragraphs and
+    ``template`` is the most alike wording, the first by name of equals; ``n_parts`` counts the sentences, lines, paragraphs and
     whole text that reach ``threshold``. Null and empty texts and parts of fewer than two words match nothing; repeated
     rows come out repeated; other columns are ignored; an empty table gives no rows. Whole texts are read, one at a time.
     """
@@ -159,8 +175,11 @@ def sql() -> str:
     return f"""
 WITH templates AS (SELECT license, template, {grams} AS tg FROM (SELECT license, template, {words_of.format('wording')} AS ws FROM (VALUES {quoted}) t(license, template, wording))),
 paragraphs AS (SELECT doc_id, ps, unnest(ps) AS p, generate_subscripts(ps, 1) AS k FROM (SELECT doc_id, regexp_split_to_array(text, '\\n(?:[ \\t\\r\\f\\x0b]*\\n)+') AS ps FROM documents WHERE text IS NOT NULL)),
+lines AS (SELECT doc_id, 'l' || k || '-' || generate_subscripts(ls, 1) AS part, unnest(ls) AS body FROM (SELECT doc_id, k, string_split(p, chr(10)) AS ls FROM paragraphs)),
+sentences AS (SELECT doc_id, part, list_filter(regexp_split_to_array(body, '[.!?]+[ \\t]+'), lambda s: regexp_matches(s, '[\\p{{L}}\\p{{N}}]')) AS ss FROM lines),
 parts AS (
-  SELECT doc_id, 'l' || k || '-' || generate_subscripts(ls, 1) AS part, unnest(ls) AS body FROM (SELECT doc_id, k, string_split(p, chr(10)) AS ls FROM paragraphs)
+  SELECT * FROM lines
+  UNION ALL SELECT doc_id, part || '-' || generate_subscripts(ss, 1), unnest(ss) FROM sentences WHERE len(ss) > 1
   UNION ALL SELECT doc_id, 'p' || k, p FROM paragraphs WHERE contains(p, chr(10))
   UNION ALL SELECT doc_id, 'w', text FROM documents WHERE regexp_matches(text, '\\n(?:[ \\t\\r\\f\\x0b]*\\n)+')),
 grams AS (SELECT doc_id, part, g FROM (SELECT doc_id, part, {grams} AS g FROM (SELECT doc_id, part, {words_of.format('body')} AS ws FROM parts)) WHERE len(g) > 0),

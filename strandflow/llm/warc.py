@@ -17,6 +17,8 @@ from strandflow.llm.common import checkpointed
 RANGE_BITS, FAN_BITS = 16, 8
 #: Consecutive page ids that go to one WARC file.
 PAGES_PER_FILE = 1000
+#: Files that records without an id are dealt to.
+NAMELESS_FILES = 1 << 16
 
 
 def record(page_id: str, url: str, html: Column) -> Column:
@@ -30,11 +32,11 @@ def record(page_id: str, url: str, html: Column) -> Column:
 def manifest(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """(file, offset, length, record_id, digest) of the WARC files that hold ``pages`` in order of their ids.
 
-    A null id goes to file -1. Only digests and lengths are shuffled, never records. Rows that repeat an id follow one
+    Records without an id go to files -1, -2, ... by a hash of their bytes, so no file has them all. Only digests and lengths are shuffled, never records. Rows that repeat an id follow one
     another by digest; other columns are ignored.
     """
     body = record(page_id, url, F.col(html))
-    file = F.coalesce(F.floor(F.col(page_id) / PAGES_PER_FILE), F.lit(-1)).cast("long")
+    file = F.coalesce(F.floor(F.col(page_id) / PAGES_PER_FILE), -1 - F.pmod(F.xxhash64(body), F.lit(NAMELESS_FILES))).cast("long")
     rows = pages.select(file.alias("file"), F.col(page_id).cast("long").alias("record_id"), F.octet_length(body).cast("long").alias("length"), F.sha2(body, 256).alias("digest"))
     before = Window.partitionBy("file").orderBy("record_id", "digest").rowsBetween(Window.unboundedPreceding, -1)
     return rows.select("file", F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long").alias("offset"), "length", "record_id", "digest")
