@@ -13,6 +13,8 @@ from strandflow.session import checkpointed, shared_folder  # noqa: F401  also f
 #: Bytes of text one group of documents holds on average; a Python task works on one group. From GROUP_FROM bytes on
 #: groups grow with the square root of the corpus, up to GROUP_MOST times as large.
 GROUP_BYTES, GROUP_FROM, GROUP_MOST = 2 << 20, 4 << 30, 8
+#: Bytes of text that a task gets about, at most.
+TASK_BYTES = 64 << 20
 #: Bytes of text that are turned into numpy arrays together.
 CHUNK_BYTES = 1 << 18
 
@@ -57,7 +59,9 @@ def grouped(docs: DataFrame, doc_id: str, text: str, carry: list[str] | None = N
     body = F.coalesce(quoted(text), F.lit(""))
     g = F.pmod(F.xxhash64(quoted(doc_id), body), F.lit(groups)).cast("int")
     rest = [F.struct(*map(quoted, carry)).alias("rest")] if carry else []
-    return docs.select(g.alias("g"), quoted(doc_id).alias("id"), body.cast("binary").alias("body"), *rest), total
+    rows = docs.select(g.alias("g"), quoted(doc_id).alias("id"), body.cast("binary").alias("body"), *rest)
+    tasks = math.ceil(total / TASK_BYTES)  # a task has a bounded share of the texts, however few the session asks for
+    return rows.repartition(tasks, "g") if tasks > int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) else rows, total
 
 
 def mix(x: np.ndarray) -> np.ndarray:

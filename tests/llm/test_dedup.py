@@ -308,3 +308,12 @@ def test_rows_of_an_exchange_do_not_outgrow_its_keys():
         assert b"".join(out.column("keys").to_pylist()) == keys.tobytes() and out.num_rows <= len(keys)
         seen.append((out.num_rows / len(keys), out.nbytes / len(keys)))
     assert seen[1][0] < 0.05 and seen[1][1] < 1.2 * seen[0][1]
+
+
+@pytest.mark.parametrize("operator", [suffix_dedup.find_repeats, substring_dedup.find_repeats])
+def test_many_tasks_give_the_same(spark, monkeypatch, operator):
+    df = table(spark, byte_texts(4))
+    want = sorted((r.doc_id, bytes(r.kept)) for r in operator(df).collect())
+    monkeypatch.setattr(common, "TASK_BYTES", 3000)
+    found = operator(df)
+    assert sorted((r.doc_id, bytes(r.kept)) for r in found.collect()) == want
