@@ -5,7 +5,7 @@ one bucket. A bucket's task sorts what it got and answers each blob with one sta
 third of all rows hold reaches its bucket once a group, not once a row, and the answers are small.
 
 A group's hashes are spread over all buckets, so the larger the corpus, the fewer share a row: never more rows than
-hashes, and to keep them well below, groups grow with the corpus (``common.group_bytes``) and buckets are large. Rows are
+hashes, and to keep them well below, groups grow with the corpus (``common.group_bytes``). Rows are
 made and cut as whole arrays, without a step of Python for each.
 """
 
@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 #: Hashes a bucket gets about, if none repeats.
-BUCKET_KEYS = 400_000
+BUCKET_KEYS = 100_000
 ASKED = "b int, g int, keys binary, multi binary"
 ANSWERED = "round int, g int, b int, status binary"
 _ASKED = pa.schema([("b", pa.int32()), ("g", pa.int32()), ("keys", pa.binary()), ("multi", pa.binary())])
