@@ -24,6 +24,8 @@ from strandflow.llm.common import quoted
 #: The window is a power of two, as minima are made by doubling.
 GRAM, WINDOW = 8, 8
 _POSITION = (1 << 30) - 1
+#: Code points whose grams are cut from one string: finding a place in a string takes as many steps as lie before it.
+STRETCH = 32
 #: Units before an edit from which on windows are looked at again: those that begin earlier pick nothing later.
 REACH = GRAM + 2 * WINDOW - 2
 #: Quantiles of doc_id that part the table, and bytes of text that a part holds about.
@@ -43,11 +45,14 @@ def winnowed(df: DataFrame, text: str, out: str) -> DataFrame:
     every use.
     """
     kept, found, count, grams = df.columns, f"{out}_found", f"{out}_n", f"{out}_grams"
-    # a look ahead at GRAM code points from every code point
-    df = df.select(*kept, F.regexp_extract_all(F.col(text), F.lit(f"(?s)(?=(.{{{GRAM}}})).")).alias(found))
+    # stretches of STRETCH code points, each with a look ahead at the grams that run past its end
+    pattern = f"(?s)(?=(.{{1,{STRETCH + GRAM - 1}}})).{{1,{STRETCH}}}"
+    df = df.select(*kept, F.regexp_extract_all(F.col(text), F.lit(pattern)).alias(found))
     packed = lambda g, i: F.shiftleft(F.shiftrightunsigned(F.xxhash64(g), 31), 30).bitwiseOR((F.lit(_POSITION) - i).cast("long"))
+    places = lambda c: F.slice(F.lit(list(range(STRETCH))), 1, F.greatest(F.length(c) - (GRAM - 1), F.lit(0)))
+    each = F.flatten(F.transform(found, lambda c, k: F.transform(places(c), lambda j: packed(F.substring(c, j + 1, F.lit(GRAM)), k * STRETCH + j))))
     short = F.when(F.length(text) > 0, F.array(packed(F.col(text), F.lit(0)))).otherwise(F.array().cast(_LONG))
-    df = df.select(*kept, F.when(F.size(found) == 0, short).otherwise(F.transform(found, packed)).alias(grams))
+    df = df.select(*kept, F.when(F.length(text) < GRAM, short).otherwise(each).alias(grams))
     df = df.select(*kept, grams, F.size(grams).alias(count))
     least, width = grams, 1
     while width < WINDOW:  # the least of twice as many, from two that lie side by side; past the end there is none
@@ -91,7 +96,7 @@ def in_parts(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, int]:
     parted between quantiles of a sample, without a further division.
     """
     body = F.coalesce(quoted(text), F.lit(""))
-    rows = docs.select(quoted(doc_id).alias("id"), body.alias("text"), F.xxhash64(body).alias("h"))
+    rows = docs.select(quoted(doc_id).alias("id"), body.alias("text"), F.shiftrightunsigned(F.xxhash64(body), 33).alias("h"))
     size = F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0)).alias("bytes")
     if not isinstance(docs.schema[doc_id].dataType, T.IntegralType):
         drawn = rows.select("id").where(F.col("id").isNotNull()).orderBy(F.xxhash64("id")).limit(SAMPLE).collect()
@@ -111,7 +116,7 @@ def in_parts(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, int]:
     hot = {e: even * (n + 1) for e, n in often.items() if n > 1}
     if hot:
         cuts = F.coalesce(F.get(F.lit([hot.get(e, 0) for e in edges]), q - 1), F.lit(0))
-        share = F.shiftrightunsigned("h", 33).cast("double") / float(1 << 31)
+        share = F.col("h").cast("double") / float(1 << 31)
         inner = F.when((cuts > 0) & (number == F.get(bounds, q - 1)), F.floor(share * cuts)).otherwise(cuts + inner)
     return rows.withColumn("part", F.shiftleft(q.cast("long"), 32) + inner), seen["bytes"]
 
@@ -125,7 +130,7 @@ def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     rows, total = in_parts(docs, doc_id, text)
     tasks = math.ceil(total / TASK_BYTES)  # a task has a bounded share of the texts, however few the session asks for
     dealt = rows.repartition("part") if tasks <= int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) else rows.repartition(tasks, "part")
-    order = Window.partitionBy("part").orderBy("id", F.shiftrightunsigned("h", 33), "text")
+    order = Window.partitionBy("part").orderBy("id", "h", "text")  # of columns as they are, so that one sort serves all uses
     first = dealt.withColumn("nth", F.row_number().over(order)).where("nth = 1").select("part", "text")
     first = winnowed(first, "text", "picked").select("part", F.col("text").alias("first_text"), hash_set("picked").alias("first_own"))
 
